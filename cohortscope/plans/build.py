@@ -39,24 +39,16 @@ class Models:
             df.createOrReplaceTempView(name)
 
 
-def base_models(
-    students_raw: DataFrame, population_raw: DataFrame, settings: Settings = Settings()
-) -> Models:
-    """Staging and intermediate models. Runs the scans of the raw inputs."""
+def student_models(students_raw: DataFrame, settings: Settings = Settings()) -> Models:
+    """Staging and intermediate models of the enrolments. Runs the two scans."""
     students = clean_enrolments(students_raw, settings.non_response)
     all_cells = land(enrolment_cells(students_raw, settings.non_response), "cells")
     cells = identified_cells(all_cells)
     per_user = indicators.enrolments_per_user(students, settings.non_response)
     headcount = land(indicators.yearly_headcount(per_user), "headcount")
-    population = land(harmonise_population(population_raw, settings), "population")
     ages = indicators.age_distribution(cells, settings.band_midpoints)
     regions = indicators.region_distribution(cells, settings.focus_region)
-    frames = {
-        "students_raw": students_raw,
-        "population_raw": population_raw,
-        "stg_students": students,
-        "stg_population": population,
-        "cells": cells,
+    intermediate = {
         "students_by_year": headcount.drop("nb_repeated_keys"),
         "gender_evolution": indicators.category_evolution(cells, non_response=settings.non_response),
         "age_distribution": ages,
@@ -65,8 +57,6 @@ def base_models(
     # Trimming keeps null labels null, so the cells show the raw columns' nulls too.
     present = F.when(F.col("identified"), F.lit("id")).alias("USER_ID")
     checked = {
-        **{name: frames[name] for name in
-           ("population_raw", "students_by_year", "gender_evolution", "age_distribution", "region_distribution")},
         "students_raw": all_cells.select(
             present,
             F.col("age_group").alias("AGE_GROUP"),
@@ -80,10 +70,27 @@ def base_models(
         "repeated_keys": headcount,
         "age_share_sums": checks.share_sums(ages),
         "region_share_sums": checks.share_sums(regions),
+        **intermediate,
     }
+    frames = {"students_raw": students_raw, "stg_students": students, "cells": cells, **intermediate}
     return Models(frames, checked)
 
 
+def base_models(
+    students_raw: DataFrame, population_raw: DataFrame, settings: Settings = Settings()
+) -> Models:
+    """Staging and intermediate models of both inputs."""
+    enrolments = student_models(students_raw, settings)
+    population = {
+        "population_raw": population_raw,
+        "stg_population": land(harmonise_population(population_raw, settings), "population"),
+    }
+    return Models(
+        {**enrolments.frames, **population},
+        {**enrolments.checked, "population_raw": population_raw},
+    )
+
+
 def with_marts(base: Models, settings: Settings = Settings(), out: str | None = None) -> Models:
     """Add the marts, written as tables under `out` (or the shared folder): four blocks and the
     synthesis read the comparison, which is computed once."""

@@ -43,6 +43,11 @@ def read_population_wide(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(POPULATION_WIDE).options(**{**_CSV, "header": False}).csv(path)
 
 
+def write_sheets(wide: DataFrame, path: str) -> None:
+    """Save wide rows as yearly sheets, in the layout that `read_population_wide` reads."""
+    wide.write.mode("overwrite").partitionBy("year").options(**{**_CSV, "header": False}).csv(path)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").options(**_CSV).csv(path)
 
