@@ -20,7 +20,7 @@ from cohortscope.plans import build  # noqa: E402
 from cohortscope.schemas import POPULATION_RAW, STUDENTS_RAW  # noqa: E402
 from cohortscope.settings import BLOCKS, BOTH_SEXES, FEMALE, SEX_LABELS  # noqa: E402
 from cohortscope.sources import derived, files  # noqa: E402
-from cohortscope.sources.shared import land, scratch_path  # noqa: E402
+from cohortscope.sources.shared import land, land_all, scratch_path  # noqa: E402
 
 SETTINGS = derived.SETTINGS
 SHEET_YEARS = oracles.SHEET_YEARS
@@ -40,18 +40,21 @@ def _population(spark: SparkSession, sf: str) -> DataFrame:
     return harmonise_population(derived.population_raw(spark, sf), SETTINGS)
 
 
-def _landed_students(spark: SparkSession, sf: str) -> DataFrame:
-    """The derived enrolments as a table, for plans that scan them more than once."""
-    return land(derived.students_raw(spark, sf), "students_raw")
+def _student_models(spark: SparkSession, sf: str) -> build.Models:
+    """The derived enrolments go to a table first: the models scan them twice."""
+    return build.student_models(land(derived.students_raw(spark, sf), "students_raw"), SETTINGS)
 
 
-def _student_models(spark: SparkSession, sf: str) -> build.Models:
-    return build.student_models(_landed_students(spark, sf), SETTINGS)
+def _base_models(spark: SparkSession, sf: str) -> build.Models:
+    raw = land_all({
+        "students_raw": derived.students_raw(spark, sf), "population_raw": derived.population_raw(spark, sf)
+    })
+    return build.base_models(raw["students_raw"], raw["population_raw"], SETTINGS)
 
 
-def _all_models(spark: SparkSession, sf: str) -> build.Models:
-    population = land(derived.population_raw(spark, sf), "population_raw")
-    return build.with_marts(build.base_models(_landed_students(spark, sf), population, SETTINGS), SETTINGS)
+def _block_export(spark: SparkSession, sf: str) -> DataFrame:
+    base = _base_models(spark, sf)
+    return build.block_mart(base, land(build.comparison_mart(base, SETTINGS), "comparison_mart"), SETTINGS)
 
 
 # --- Sources and sinks ----------------------------------------------------------------------
@@ -111,7 +114,7 @@ def export_staging(spark: SparkSession, sf: str) -> DataFrame:
 
 def export_blocks(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "block_export_csv")
-    files.export_blocks(_all_models(spark, sf)["block_export"], path)
+    files.export_blocks(_block_export(spark, sf), path)
     schema = ("slide int, source_table string, dimension string, detail string, "
               "valeur string, valeur_2 double, ecart double, rang bigint")
     return spark.read.schema(schema).option("header", True).csv(path)
@@ -222,14 +225,7 @@ def band_group_rollup(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def annual_synthesis(spark: SparkSession, sf: str) -> DataFrame:
-    models = _student_models(spark, sf)
-    return marts.annual_synthesis(
-        models["students_by_year"], models["age_distribution"], models["region_distribution"], SETTINGS
-    )
-
-
-def block_union(spark: SparkSession, sf: str) -> DataFrame:
-    return _all_models(spark, sf)["block_export"]
+    return build.synthesis_mart(_student_models(spark, sf), SETTINGS)
 
 
 # --- Checks ---------------------------------------------------------------------------------
@@ -259,13 +255,13 @@ def check_sum_100(spark: SparkSession, sf: str) -> DataFrame:
 def reconcile(spark: SparkSession, sf: str) -> DataFrame:
     years = len(SETTINGS.years)
     expected = dict(zip(BLOCKS, (years, 3 * years, 9, SETTINGS.top_bands * years, 14, years, 3), strict=True))
-    lines = marts.block_counts(_all_models(spark, sf)["block_export"])
+    lines = marts.block_counts(_block_export(spark, sf))
     actual = lines.select(F.col("source_table").alias("metric"), F.col("nb_lignes").alias("value"))
     return checks.reconcile(actual, expected)
 
 
 def gate(spark: SparkSession, sf: str) -> DataFrame:
-    return build.check_summary(_all_models(spark, sf), SETTINGS)
+    return build.check_summary(build.with_marts(_base_models(spark, sf), SETTINGS), SETTINGS)
 
 
 # --- Contract -------------------------------------------------------------------------------
@@ -307,8 +303,8 @@ _QUERIES: dict[str, Query] = {
     "compare_all": _compare_all,
     "annual_synthesis": annual_synthesis,
     "band_group_rollup": band_group_rollup,
-    "block_union": block_union,
-    "block_counts": lambda spark, sf: marts.block_counts(_all_models(spark, sf)["block_export"]),
+    "block_union": _block_export,
+    "block_counts": lambda spark, sf: marts.block_counts(_block_export(spark, sf)),
     "export_staging": export_staging,
     "export_blocks": export_blocks,
     "check_not_null": check_not_null,

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -23,31 +23,30 @@ def filter_footnotes(wide: DataFrame) -> DataFrame:
     note = F.lit(False)
     for prefix in NOTE_PREFIXES:
         note = note | region.startswith(prefix)
-    has_number = F.coalesce(*[F.col(c).try_cast("double") for c in WIDE_COLUMNS]).isNotNull()
+    numbers = ", ".join(f"try_cast({c} AS DOUBLE)" for c in WIDE_COLUMNS)
+    has_number = F.expr(f"coalesce({numbers})").isNotNull()
     return wide.where((region != "") & ~region.isin(*NATIONAL_TOTALS) & ~note & has_number)
 
 
-def _whole_number(wide: DataFrame, name: str) -> Column:
-    cell = F.col(name)
-    if isinstance(wide.schema[name].dataType, StringType):
-        cell = cell.cast("decimal(38,9)")  # a cell that is no number fails here
-    return cell.cast("bigint")
-
-
 def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
     """One row per region, sex, band and year; totals columns and empty cells are left out and
-    numbers truncated. A narrow operation: every input row becomes at most 60 output rows."""
+    numbers truncated. A cell that is neither empty nor a number fails the run.
+
+    A narrow operation: every input row becomes at most 60 output rows, without a shuffle.
+    """
     rows = filter_footnotes(select_years(wide, years))
     cells = [
-        F.struct(
-            F.lit(sex).alias("SEXE"),
-            F.lit(band).alias("AGE_GROUP"),
-            _whole_number(rows, f"c{first + i}").alias("POPULATION"),
-        )
+        (sex, band, f"c{first + i}")
         for sex, first in SEX_BLOCKS.items()
         for i, band in enumerate(POPULATION_BANDS)
     ]
+    text = {f.name for f in rows.schema if isinstance(f.dataType, StringType)}
+    numbers = [f"{f'CAST({c} AS DECIMAL(38, 9))' if c in text else c} AS {c}" for _, _, c in cells]
+    stacked = ", ".join(f"'{sex}', '{band}', CAST({c} AS BIGINT)" for sex, band, c in cells)
     return (
-        rows.select(F.col("region").alias("REGION"), F.inline(F.array(*cells)), F.col("year").alias("ANNEE"))
-        .where(F.col("POPULATION").isNotNull())
+        rows.selectExpr("region AS REGION", "year AS ANNEE", *numbers)
+        .selectExpr(
+            "REGION", f"stack({len(cells)}, {stacked}) AS (SEXE, AGE_GROUP, POPULATION)", "ANNEE"
+        )
+        .where("POPULATION IS NOT NULL")
     )

@@ -7,6 +7,7 @@ results are tiny and written, so every later model and mart reads a small table.
 
 from __future__ import annotations
 
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -17,7 +18,7 @@ from cohortscope.operators.counts import enrolment_cells, identified_cells
 from cohortscope.operators.staging import clean_enrolments, harmonise_population
 from cohortscope.settings import Settings
 from cohortscope.sources.files import export_blocks, export_rows, write_table
-from cohortscope.sources.shared import land
+from cohortscope.sources.shared import land, land_all
 
 EXPORT_KEYS = ("year_started", "region", "age_group", "gender")
 MARTS = ("annual_synthesis", "comparison_mart", "block_export")
@@ -39,13 +40,20 @@ class Models:
             df.createOrReplaceTempView(name)
 
 
-def student_models(students_raw: DataFrame, settings: Settings = Settings()) -> Models:
-    """Staging and intermediate models of the enrolments. Runs the two scans."""
+def _student_inputs(students_raw: DataFrame, settings: Settings) -> dict[str, DataFrame]:
     students = clean_enrolments(students_raw, settings.non_response)
-    all_cells = land(enrolment_cells(students_raw, settings.non_response), "cells")
-    cells = identified_cells(all_cells)
     per_user = indicators.enrolments_per_user(students, settings.non_response)
-    headcount = land(indicators.yearly_headcount(per_user), "headcount")
+    return {
+        "cells": enrolment_cells(students_raw, settings.non_response),
+        "headcount": indicators.yearly_headcount(per_user),
+    }
+
+
+def _student_models(
+    students_raw: DataFrame, landed: Mapping[str, DataFrame], settings: Settings
+) -> Models:
+    all_cells, headcount = landed["cells"], landed["headcount"]
+    cells = identified_cells(all_cells)
     ages = indicators.age_distribution(cells, settings.band_midpoints)
     regions = indicators.region_distribution(cells, settings.focus_region)
     intermediate = {
@@ -72,46 +80,61 @@ def student_models(students_raw: DataFrame, settings: Settings = Settings()) ->
         "region_share_sums": checks.share_sums(regions),
         **intermediate,
     }
-    frames = {"students_raw": students_raw, "stg_students": students, "cells": cells, **intermediate}
+    staged = clean_enrolments(students_raw, settings.non_response)
+    frames = {"students_raw": students_raw, "stg_students": staged, "cells": cells, **intermediate}
     return Models(frames, checked)
 
 
+def student_models(students_raw: DataFrame, settings: Settings = Settings()) -> Models:
+    """Staging and intermediate models of the enrolments. Runs the two scans."""
+    return _student_models(students_raw, land_all(_student_inputs(students_raw, settings)), settings)
+
+
 def base_models(
     students_raw: DataFrame, population_raw: DataFrame, settings: Settings = Settings()
 ) -> Models:
-    """Staging and intermediate models of both inputs."""
-    enrolments = student_models(students_raw, settings)
-    population = {
-        "population_raw": population_raw,
-        "stg_population": land(harmonise_population(population_raw, settings), "population"),
-    }
+    """Staging and intermediate models of both inputs. Runs their scans at the same time."""
+    landed = land_all({
+        **_student_inputs(students_raw, settings),
+        "population": harmonise_population(population_raw, settings),
+    })
+    enrolments = _student_models(students_raw, landed, settings)
     return Models(
-        {**enrolments.frames, **population},
+        {**enrolments.frames, "population_raw": population_raw, "stg_population": landed["population"]},
         {**enrolments.checked, "population_raw": population_raw},
     )
 
 
+def synthesis_mart(base: Models, settings: Settings = Settings()) -> DataFrame:
+    return marts.annual_synthesis(
+        base["students_by_year"], base["age_distribution"], base["region_distribution"], settings
+    )
+
+
+def comparison_mart(base: Models, settings: Settings = Settings()) -> DataFrame:
+    return compare.comparison_mart(base["cells"], base["stg_population"], settings)
+
+
+def block_mart(base: Models, comparison: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The block export. Four blocks read the comparison, so pass it as a table."""
+    return marts.block_export(
+        base["students_by_year"], base["gender_evolution"], base["age_distribution"],
+        base["region_distribution"], comparison, settings,
+    )
+
+
 def with_marts(base: Models, settings: Settings = Settings(), out: str | None = None) -> Models:
-    """Add the marts, written as tables under `out` (or the shared folder): four blocks and the
-    synthesis read the comparison, which is computed once."""
+    """Add the marts, written as tables under `out` (or the shared folder)."""
 
-    def materialise(df: DataFrame, name: str) -> DataFrame:
+    def write(df: DataFrame, name: str) -> DataFrame:
         return write_table(df, f"{out}/{name}") if out else land(df, name)
 
-    headcount, ages, regions = base["students_by_year"], base["age_distribution"], base["region_distribution"]
-    comparison = materialise(
-        compare.comparison_mart(base["cells"], base["stg_population"], settings), "comparison_mart"
-    )
-    tables = {
-        "annual_synthesis": materialise(
-            marts.annual_synthesis(headcount, ages, regions, settings), "annual_synthesis"
-        ),
-        "comparison_mart": comparison,
-        "block_export": materialise(
-            marts.block_export(headcount, base["gender_evolution"], ages, regions, comparison, settings),
-            "block_export",
-        ),
-    }
+    comparison = write(comparison_mart(base, settings), "comparison_mart")
+    tables = land_all({
+        "annual_synthesis": synthesis_mart(base, settings),
+        "block_export": block_mart(base, comparison, settings),
+    }, write)
+    tables["comparison_mart"] = comparison
     return Models({**base.frames, **tables}, {**base.checked, **tables})
 
 

@@ -6,8 +6,11 @@ counts, so every query below grows with those tables.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from functools import cache
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortscope.schemas import WIDE_COLUMNS
 from cohortscope.settings import (
@@ -21,68 +24,55 @@ from cohortscope.settings import (
 
 SETTINGS = Settings(years=tuple(range(1995, 2002)), benchmark_year=1997)
 
-_STUDENT_BANDS = {
-    "20-24 ans": (0, 1),
-    "25-29 ans": (2, 3, 4, 5),
-    "30-34 ans": (6, 7, 8, 9, 10),
-    "35-39 ans": (11, 12, 13),
-    "40-44 ans": (14, 15),
-    "45-49 ans": (16,),
-    "50-54 ans": (17,),
-    "55-59 ans": (18,),
-    "60 ans ou plus": (19,),
-}
-_STUDENT_REGIONS = {
-    FOCUS_REGION: (0, 2),
-    "Centre-Val de Loire": (1,),
-    "DROM": (3, 4, 5, 6, 7, 8),
-}
+# Band of each of twenty customer classes, and region of each of the first population codes.
+_STUDENT_BANDS = (
+    ["20-24 ans"] * 2 + ["25-29 ans"] * 4 + ["30-34 ans"] * 5 + ["35-39 ans"] * 3 + ["40-44 ans"] * 2
+    + ["45-49 ans", "50-54 ans", "55-59 ans", "60 ans ou plus"]
+)
 _POPULATION_REGIONS = (
     FOCUS_REGION, "Centre-Val-de-Loire", "Corse", "Guadeloupe", "Martinique", "Guyane",
     "La Réunion", "Mayotte", "DOM",
 )
 
 
-def _pick(code: Column, labels: dict[str, tuple[int, ...]]) -> Column:
-    return F.coalesce(*[F.when(code.isin(*codes), F.lit(label)) for label, codes in labels.items()])
+def _at(labels, index: str) -> str:
+    """SQL for the label at a zero-based index."""
+    listed = ", ".join(f"'{label}'" for label in labels)
+    return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
+
+
+@cache
+def _schema(path: str) -> StructType:
+    return SparkSession.active().read.parquet(path).schema
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    path = f"{sf_dir}/{name}.parquet"
+    return spark.read.schema(_schema(path)).parquet(path)
 
 
 def _as_students(rows: DataFrame) -> DataFrame:
     """Raw enrolment columns from customer key `ck`, nation key `nk` and year `y`."""
-    ck, y = F.col("ck"), F.col("y")
-    region_code = F.col("nk") % 19
-    silent = (ck + y) % 10 < 2001 - y
-    gender = (
-        F.when(silent, F.when(ck % 2 == 0, F.lit(None)).otherwise(F.lit("  ")))
-        .otherwise(F.when(ck % 3 == 0, F.lit("F ")).otherwise(F.lit(" M")))
-    )
-    return rows.select(
-        F.when(ck % 211 != 7, F.concat(F.lit("u"), ck.cast("string"))).alias("USER_ID"),
-        F.lit("Data").alias("PATH_CATEGORY_NAME"),
-        F.concat(F.lit(" "), _pick(ck % 20, _STUDENT_BANDS), F.lit(" ")).alias("AGE_GROUP"),
-        gender.alias("GENDER"),
-        F.coalesce(
-            _pick(region_code, _STUDENT_REGIONS),
-            F.concat(F.lit("NATION_"), region_code.cast("string")),
-        ).alias("REGION"),
-        y.alias("YEAR_PATH_STARTED"),
+    return rows.selectExpr(
+        "CASE WHEN ck % 211 != 7 THEN 'u' || ck END AS USER_ID",
+        "'Data' AS PATH_CATEGORY_NAME",
+        f"' ' || {_at(_STUDENT_BANDS, 'ck % 20')} || ' ' AS AGE_GROUP",
+        """CASE WHEN (ck + y) % 10 >= 2001 - y THEN if(ck % 3 = 0, 'F ', ' M')
+                WHEN ck % 2 = 1 THEN '  ' END AS GENDER""",
+        f"""CASE WHEN nk % 19 IN (0, 2) THEN '{FOCUS_REGION}'
+                 WHEN nk % 19 = 1 THEN 'Centre-Val de Loire'
+                 WHEN nk % 19 <= 8 THEN 'DROM'
+                 ELSE 'NATION_' || nk % 19 END AS REGION""",
+        "y AS YEAR_PATH_STARTED",
     )
 
 
 def _orders(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "orders").select(
-        F.col("o_custkey").alias("ck"), F.year("o_orderdate").alias("y")
-    )
+    return _table(spark, sf_dir, "orders").selectExpr("o_custkey AS ck", "year(o_orderdate) AS y")
 
 
 def _customers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("ck"), F.col("c_nationkey").alias("nk")
-    )
+    return _table(spark, sf_dir, "customer").selectExpr("c_custkey AS ck", "c_nationkey AS nk")
 
 
 def students_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -93,9 +83,8 @@ def students_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     those without identifier need another pass, which a reader that drops them never plans.
     """
     rows = _orders(spark, sf_dir).distinct().join(_customers(spark, sf_dir), "ck")
-    anonymous = F.col("ck") % 211 == 7
-    return _as_students(rows.where(~anonymous)).unionByName(
-        _as_students(rows.where(anonymous)).distinct()
+    return _as_students(rows.where("ck % 211 != 7")).unionByName(
+        _as_students(rows.where("ck % 211 = 7")).distinct()
     )
 
 
@@ -105,33 +94,30 @@ def enrolment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Population by region, sex, band and year, with the both-sexes rows."""
-    lines = _table(spark, sf_dir, "lineitem").select(
-        F.col("l_suppkey").alias("sk"),
-        (F.col("l_partkey") % 20).cast("int").alias("band"),
-        (F.col("l_linenumber") % 2 == 0).alias("female"),
-        F.year("l_shipdate").alias("ANNEE"),
-        F.col("l_quantity").cast("bigint").alias("quantity"),
-    )
-    suppliers = _table(spark, sf_dir, "supplier").select(
-        F.col("s_suppkey").alias("sk"), (F.col("s_nationkey") % 19).alias("code")
+    """Population by region, sex, band and year, with the both-sexes rows.
+
+    Line items are added up by code first; labels and the both-sexes rows are made from those few
+    thousand sums. A supplier with very many lines is split by the adaptive skew join.
+    """
+    lines = _table(spark, sf_dir, "lineitem").selectExpr(
+        "l_suppkey AS sk",
+        "l_partkey % 20 AS band",
+        "l_linenumber % 2 AS odd",
+        "year(l_shipdate) AS ANNEE",
+        "CAST(l_quantity AS BIGINT) AS quantity",
     )
-    code, band = F.col("code"), F.col("band")
+    suppliers = _table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS sk", "s_nationkey % 19 AS code")
     by_sex = (
-        lines.join(suppliers, "sk")
-        .groupBy("code", "female", "band", "ANNEE")
+        lines.join(suppliers, "sk").groupBy("code", "odd", "band", "ANNEE")
         .agg(F.sum("quantity").alias("quantity"))
     )
-    sexes = F.array(F.when(F.col("female"), F.lit("Femmes")).otherwise(F.lit("Hommes")), F.lit(BOTH_SEXES))
+    known = len(_POPULATION_REGIONS)
     return (
-        by_sex.withColumn("SEXE", F.explode(sexes))
-        .select(
-            F.coalesce(
-                _pick(code, {label: (i,) for i, label in enumerate(_POPULATION_REGIONS)}),
-                F.concat(F.lit("NATION_"), code.cast("string")),
-            ).alias("REGION"),
-            "SEXE",
-            _pick(band, {label: (i,) for i, label in enumerate(POPULATION_BANDS)}).alias("AGE_GROUP"),
+        by_sex.selectExpr(
+            f"CASE WHEN code < {known} THEN {_at(_POPULATION_REGIONS, f'code % {known}')} "
+            "ELSE 'NATION_' || code END AS REGION",
+            f"explode(array(if(odd = 0, 'Femmes', 'Hommes'), '{BOTH_SEXES}')) AS SEXE",
+            f"{_at(POPULATION_BANDS, 'band')} AS AGE_GROUP",
             "quantity",
             "ANNEE",
         )
@@ -145,41 +131,25 @@ def population_wide(population: DataFrame) -> DataFrame:
     """Yearly sheets of the long population: one row per region, plus the rows that sheets carry
     around the data (headings, national totals, a blank region, notes). Cells are text with
     decimals, as a spreadsheet saves them."""
-    slots = {
-        f"c{first + i}": (sex, band)
-        for sex, first in SEX_BLOCKS.items()
-        for i, band in enumerate(POPULATION_BANDS)
-    }
-    cells = [
-        F.sum(F.when((F.col("SEXE") == sex) & (F.col("AGE_GROUP") == band), F.col("POPULATION"))).alias(name)
-        for name, (sex, band) in slots.items()
-    ]
-    totals = [
-        F.sum(F.when(F.col("SEXE") == sex, F.col("POPULATION"))).alias(f"c{first + len(POPULATION_BANDS)}")
-        for sex, first in SEX_BLOCKS.items()
-    ]
-    regions = (
-        population.groupBy(F.col("REGION").alias("region"), F.col("ANNEE").alias("year"))
-        .agg(*cells, *totals)
-    )
-    national = (
-        regions.groupBy("year")
-        .agg(*[F.sum(name).alias(name) for name in WIDE_COLUMNS])
-        .withColumn("region", F.explode(F.array(*[F.lit(label) for label in (*NATIONAL_TOTALS, "")])))
+    heading = {name: "Total" for name in WIDE_COLUMNS}
+    conditions = {}
+    for sex, first in SEX_BLOCKS.items():
+        conditions[f"c{first + len(POPULATION_BANDS)}"] = f"SEXE = '{sex}'"
+        for i, band in enumerate(POPULATION_BANDS):
+            heading[f"c{first + i}"] = band
+            conditions[f"c{first + i}"] = f"SEXE = '{sex}' AND AGE_GROUP = '{band}'"
+    regions = population.groupBy(F.col("REGION").alias("region"), F.col("ANNEE").alias("year")).agg(
+        *[F.expr(f"sum(POPULATION) FILTER (WHERE {conditions[c]})").alias(c) for c in WIDE_COLUMNS]
     )
-    text_rows = (
-        regions.select("year").distinct()
-        .withColumn("region", F.explode(F.array(*[
-            F.lit(label) for label in ("Régions", "Source : état civil", "Champ : France", "Note : révisé")
-        ])))
+    national = regions.groupBy("year").agg(*[F.expr(f"sum({c})").alias(c) for c in WIDE_COLUMNS])
+    totals = ", ".join(f"'{label}'" for label in (*NATIONAL_TOTALS, ""))
+    numbers = [f"{c} || '.7' AS {c}" for c in WIDE_COLUMNS]
+    headings = [f"if(region = 'Régions', '{heading[c]}', NULL) AS {c}" for c in WIDE_COLUMNS]
+    text_rows = regions.select("year").distinct().selectExpr(
+        "explode(array('Régions', 'Source : état civil', 'Champ : France', 'Note : révisé')) AS region", "year"
     )
-    heading = F.col("region") == "Régions"
-    headings = [
-        F.when(heading, F.lit(slots[name][1] if name in slots else "Total")).alias(name)
-        for name in WIDE_COLUMNS
-    ]
-    as_text = [F.concat(F.col(name).cast("string"), F.lit(".7")).alias(name) for name in WIDE_COLUMNS]
     return (
-        regions.unionByName(national).select("region", *as_text, "year")
-        .unionByName(text_rows.select("region", *headings, "year"))
+        regions.selectExpr("region", *numbers, "year")
+        .unionByName(national.selectExpr(f"explode(array({totals})) AS region", *numbers, "year"))
+        .unionByName(text_rows.selectExpr("region", *headings, "year"))
     )

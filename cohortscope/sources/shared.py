@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import tempfile
+from collections.abc import Callable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,3 +34,12 @@ def land(df: DataFrame, name: str) -> DataFrame:
     The table outlives lost executors, and its size is known when joins are planned.
     """
     return write_table(df, scratch_path(df.sparkSession, name))
+
+
+def land_all(
+    frames: Mapping[str, DataFrame], write: Callable[[DataFrame, str], DataFrame] = land
+) -> dict[str, DataFrame]:
+    """Land independent frames at the same time, so short jobs fill the cluster together."""
+    with ThreadPoolExecutor(len(frames)) as pool:
+        landed = pool.map(lambda name: write(frames[name], name), frames)
+        return dict(zip(frames, landed, strict=True))
