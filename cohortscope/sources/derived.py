@@ -51,10 +51,14 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.schema(_schema(path)).parquet(path)
 
 
-def _as_students(rows: DataFrame) -> DataFrame:
+_IDENTIFIED = "ck % 211 != 7"
+_USER_ID = "'u' || ck"
+
+
+def _as_students(rows: DataFrame, user_id: str) -> DataFrame:
     """Raw enrolment columns from customer key `ck`, nation key `nk` and year `y`."""
     return rows.selectExpr(
-        "CASE WHEN ck % 211 != 7 THEN 'u' || ck END AS USER_ID",
+        f"{user_id} AS USER_ID",
         "'Data' AS PATH_CATEGORY_NAME",
         f"' ' || {_at(_STUDENT_BANDS, 'ck % 20')} || ' ' AS AGE_GROUP",
         """CASE WHEN (ck + y) % 10 >= 2001 - y THEN if(ck % 3 = 0, 'F ', ' M')
@@ -83,14 +87,14 @@ def students_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     those without identifier need another pass, which a reader that drops them never plans.
     """
     rows = _orders(spark, sf_dir).distinct().join(_customers(spark, sf_dir), "ck")
-    return _as_students(rows.where("ck % 211 != 7")).unionByName(
-        _as_students(rows.where("ck % 211 = 7")).distinct()
-    )
+    anonymous = _as_students(rows.where(f"NOT ({_IDENTIFIED})"), "CAST(NULL AS STRING)").distinct()
+    return _as_students(rows.where(_IDENTIFIED), _USER_ID).unionByName(anonymous)
 
 
 def enrolment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw row per order, so a customer can repeat within a year."""
-    return _as_students(_orders(spark, sf_dir).join(_customers(spark, sf_dir), "ck"))
+    rows = _orders(spark, sf_dir).join(_customers(spark, sf_dir), "ck")
+    return _as_students(rows, f"CASE WHEN {_IDENTIFIED} THEN {_USER_ID} END")
 
 
 def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
