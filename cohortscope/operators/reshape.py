@@ -17,15 +17,25 @@ def select_years(wide: DataFrame, years: Sequence[int]) -> DataFrame:
     return wide.where(F.col("year").isin(*years))
 
 
+def _text_cells(wide: DataFrame) -> set[str]:
+    return {f.name for f in wide.schema if f.name in WIDE_COLUMNS and isinstance(f.dataType, StringType)}
+
+
 def filter_footnotes(wide: DataFrame) -> DataFrame:
-    """Keep region rows: no headings (no numeric cell), blank regions, national totals or notes."""
+    """Keep region rows: no headings (texts but no number in the cells), blank regions, national
+    totals or notes. Select cells by their names afterwards: the heading filter refers to all of
+    them, and renaming many columns above such a filter makes Spark's planning very slow.
+    """
     region = F.col("region")
     note = F.lit(False)
     for prefix in NOTE_PREFIXES:
         note = note | region.startswith(prefix)
+    rows = wide.where((region != "") & ~region.isin(*NATIONAL_TOTALS) & ~note)
+    text = _text_cells(wide)
+    if not text:
+        return rows
     numbers = ", ".join(f"try_cast({c} AS DOUBLE)" for c in WIDE_COLUMNS)
-    has_number = F.expr(f"coalesce({numbers})").isNotNull()
-    return wide.where((region != "") & ~region.isin(*NATIONAL_TOTALS) & ~note & has_number)
+    return rows.where(f"coalesce({numbers}) IS NOT NULL")
 
 
 def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
@@ -34,19 +44,18 @@ def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
 
     A narrow operation: every input row becomes at most 60 output rows, without a shuffle.
     """
-    rows = filter_footnotes(select_years(wide, years))
+    text = _text_cells(wide)
     cells = [
-        (sex, band, f"c{first + i}")
+        f"'{sex}', '{band}', " + (f"CAST(CAST({c} AS DECIMAL(38, 9)) AS BIGINT)" if c in text else f"CAST({c} AS BIGINT)")
         for sex, first in SEX_BLOCKS.items()
-        for i, band in enumerate(POPULATION_BANDS)
+        for c, band in ((f"c{first + i}", band) for i, band in enumerate(POPULATION_BANDS))
     ]
-    text = {f.name for f in rows.schema if isinstance(f.dataType, StringType)}
-    numbers = [f"{f'CAST({c} AS DECIMAL(38, 9))' if c in text else c} AS {c}" for _, _, c in cells]
-    stacked = ", ".join(f"'{sex}', '{band}', CAST({c} AS BIGINT)" for sex, band, c in cells)
     return (
-        rows.selectExpr("region AS REGION", "year AS ANNEE", *numbers)
+        filter_footnotes(select_years(wide, years))
         .selectExpr(
-            "REGION", f"stack({len(cells)}, {stacked}) AS (SEXE, AGE_GROUP, POPULATION)", "ANNEE"
+            "region AS REGION",
+            f"stack({len(cells)}, {', '.join(cells)}) AS (SEXE, AGE_GROUP, POPULATION)",
+            "year AS ANNEE",
         )
         .where("POPULATION IS NOT NULL")
     )

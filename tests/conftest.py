@@ -1,0 +1,66 @@
+import os
+import sys
+from pathlib import Path
+
+import pytest
+from pyspark.sql import SparkSession
+
+sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
+
+SF_DIR = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
+
+
+@pytest.fixture(scope="session")
+def spark(tmp_path_factory):
+    session = (
+        SparkSession.builder.master("local[4]").appName("tests")
+        .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.sql.shuffle.partitions", "4")
+        .config("spark.driver.memory", "4g")
+        .config("spark.sql.session.timeZone", "UTC")
+        .config("spark.checkpoint.dir", str(tmp_path_factory.mktemp("shared")))
+        .getOrCreate()
+    )
+    session.sparkContext.setLogLevel("ERROR")
+    yield session
+    session.stop()
+
+
+@pytest.fixture(scope="session")
+def sf_dir():
+    return SF_DIR
+
+
+@pytest.fixture
+def students(spark):
+    """Cleaned enrolments from (user, age, gender, region, year) tuples."""
+
+    def make(*rows):
+        schema = ("USER_ID string, PATH_CATEGORY_NAME string, age_group string, gender string, "
+                  "region string, year_started int")
+        return spark.createDataFrame([(u, "Data", a, g, r, y) for u, a, g, r, y in rows], schema)
+
+    return make
+
+
+@pytest.fixture
+def population(spark):
+    """Harmonised population from (region, sex, age, population, year) tuples."""
+
+    def make(*rows):
+        return spark.createDataFrame(
+            list(rows), "region string, sexe string, age_group string, population bigint, annee int"
+        )
+
+    return make
+
+
+@pytest.fixture
+def raw_students(spark):
+    from cohortscope.schemas import STUDENTS_RAW
+
+    def make(*rows):
+        return spark.createDataFrame(list(rows), STUDENTS_RAW)
+
+    return make

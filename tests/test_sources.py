@@ -1,0 +1,131 @@
+from pathlib import Path
+
+import pytest
+from helpers import rows
+from pyspark.sql import functions as F
+
+from cohortscope.schemas import POPULATION_RAW, STUDENTS_RAW
+from cohortscope.sources import files, shared
+
+
+def part_files(path):
+    return sorted(Path(path).glob("part-*"))
+
+
+def test_students_csv_keeps_spaces_quotes_and_accents(spark, raw_students, tmp_path):
+    original = raw_students(
+        ("u1", "Data", " 25-29 ans ", " M", "Île-de-France", 2022),
+        ("u2", "Data", "30-34 ans", "  ", 'La "Réunion", île', 2023),
+        (None, "Data", "30-34 ans", None, "DROM ", 2024),
+        ("u\\4", None, "30-34 ans", "F", "a\\", 2025),
+    )
+    path = str(tmp_path / "students")
+    files.write_csv(original, path)
+    assert rows(files.read_students(spark, path)) == rows(original)
+    assert part_files(path)[0].read_text(encoding="utf-8").splitlines()[0] == ",".join(STUDENTS_RAW.names)
+
+
+def test_csv_without_value_reads_null_and_spaces_stay(spark, tmp_path):
+    path = tmp_path / "students.csv"
+    path.write_text(
+        "USER_ID,PATH_CATEGORY_NAME,AGE_GROUP,GENDER,REGION,YEAR_PATH_STARTED\n"
+        'u1,Data,20-24 ans,,DROM,2022\nu2,Data,20-24 ans,"",DROM,2022\nu3,Data,20-24 ans,  ,DROM,2022\n',
+        encoding="utf-8",
+    )
+    assert rows(files.read_students(spark, str(path)), "USER_ID", "GENDER") == [("u1", None), ("u2", None), ("u3", "  ")]
+
+
+def test_csv_with_a_bad_number_fails(spark, tmp_path):
+    path = tmp_path / "population.csv"
+    path.write_text("REGION,SEXE,AGE_GROUP,POPULATION,ANNEE\nCorse,Femmes,20 à 24 ans,many,2023\n", encoding="utf-8")
+    with pytest.raises(Exception, match="MALFORMED|FAILFAST|many"):
+        files.read_population(spark, str(path)).collect()
+
+
+def test_csv_with_other_columns_fails(spark, tmp_path):
+    path = tmp_path / "population.csv"
+    path.write_text("SEXE,REGION,AGE_GROUP,POPULATION,ANNEE\nFemmes,Corse,20 à 24 ans,12,2023\n", encoding="utf-8")
+    with pytest.raises(Exception, match="(?i)header"):
+        files.read_population(spark, str(path)).collect()
+
+
+def test_table_is_replaced_and_read_back(spark, population, tmp_path):
+    path = str(tmp_path / "table")
+    files.write_table(population(("Corse", "F", "20-24 ans", 1, 2023), ("Corse", "M", "20-24 ans", 1, 2023)), path)
+    df = population(("Corse", "F", "20-24 ans", 2, 2023))
+    assert rows(files.write_table(df, path)) == rows(df)
+
+
+def test_shared_dir_follows_the_session(spark):
+    assert shared.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_landed_table_needs_its_lineage_no_more(spark, students):
+    source = students(("u1", "20-24 ans", "F", "DROM", 2022), ("u2", "20-24 ans", "M", "DROM", 2022))
+    landed = shared.land(source, "students")
+    assert rows(landed) == rows(source)
+    assert "FileScan parquet" in landed._jdf.queryExecution().executedPlan().toString()
+
+
+def test_land_all_keeps_names_and_reports_failures(spark):
+    landed = shared.land_all({"a": spark.range(3), "b": spark.range(5)})
+    assert {name: df.count() for name, df in landed.items()} == {"a": 3, "b": 5}
+    with pytest.raises(Exception, match="no such file"):
+        shared.land_all({"a": spark.range(3), "b": spark.range(1).select(F.raise_error(F.lit("no such file")))})
+
+
+def exported_rows(path):
+    lines = []
+    for part in part_files(path):
+        lines += part.read_text(encoding="utf-8").splitlines()[1:]
+    return lines
+
+
+def test_row_export_is_globally_ordered_and_whole(spark, students, tmp_path):
+    many = [(f"u{i:04d}", "25-29 ans", "M" if i % 3 else "F", f"R{i % 5}", 2022 + i % 4) for i in range(900)]
+    df = students(*many).repartition(7)
+    path = str(tmp_path / "rows")
+    files.export_rows(df, path, ["year_started", "region", "age_group", "gender"])
+    keys = [(c[5], c[4], c[2], c[3]) for c in (line.split(",") for line in exported_rows(path))]
+    assert keys == sorted(keys)
+    assert rows(files.read_csv(spark, path, df.schema)) == rows(df)
+
+
+def test_row_export_splits_copies_of_one_row(spark, students, tmp_path):
+    copies = [("u1", "25-29 ans", "F", "DROM", 2023)] * 3000
+    others = [(f"v{i}", "25-29 ans", "F", "DROM", 2022) for i in range(500)]
+    path = str(tmp_path / "copies")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.export_rows(students(*copies, *others).repartition(6), path, ["year_started", "region"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    holders = [part for part in part_files(path) if "u1," in part.read_text(encoding="utf-8")]
+    assert len(holders) >= 2
+    lines = exported_rows(path)
+    assert len(lines) == 3500
+    assert sum(line.startswith("u1,") for line in lines) == 3000
+
+
+def test_block_export_is_one_ordered_file_with_plain_headcounts(spark, tmp_path):
+    schema = ("slide int, source_table string, dimension string, detail string, valeur decimal(20,1), "
+              "valeur_2 decimal(20,1), ecart decimal(20,1), rang bigint")
+    df = spark.createDataFrame([], schema).union(spark.sql("""
+        SELECT * FROM VALUES (10, 'b', 'global', 'x', 31.0, 30.5, 0.5, 2L), (8, 'a', '2022', NULL, 1696.0, NULL, NULL, 1L),
+                             (10, 'b', 'global', 'w', 12.5, 30.5, -18.0, 1L)"""))
+    path = str(tmp_path / "blocks")
+    files.export_blocks(df.repartition(3), path)
+    (part,) = part_files(path)
+    assert part.read_text(encoding="utf-8").splitlines() == [
+        "slide,source_table,dimension,detail,valeur,valeur_2,ecart,rang",
+        "8,a,2022,,1696,,,1",
+        "10,b,global,w,12.5,30.5,-18.0,1",
+        "10,b,global,x,31.0,30.5,0.5,2",
+    ]
+
+
+def test_population_csv_schema(spark, tmp_path):
+    df = spark.createDataFrame([("Corse", "Femmes", "20 à 24 ans", 12, 2023)], POPULATION_RAW)
+    files.write_csv(df, str(tmp_path / "p"))
+    back = files.read_population(spark, str(tmp_path / "p"))
+    assert back.dtypes == df.dtypes and rows(back) == rows(df)
