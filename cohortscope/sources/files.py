@@ -61,18 +61,12 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 def export_rows(df: DataFrame, path: str, keys: Sequence[str]) -> None:
     """Write every row to CSV files whose concatenation is sorted by `keys`.
 
-    A few key values can hold most rows, so the sort goes on through the remaining columns and,
-    for equal rows, a running number: any key can be split over tasks. Numbering sorted input
-    gives equal row sets equal numbers when a lost task runs again.
+    A few key values can hold most rows, so the ranges also split by a salt: a hash of the row and
+    of the task that holds it. Even copies of one row spread over as many ranges as tasks hold
+    them, and a task that runs again computes the same salts.
     """
-    columns = list(keys) + [c for c in df.columns if c not in keys]
-    ordered = (
-        df.sortWithinPartitions(*columns)
-        .withColumn("__copy", F.monotonically_increasing_id())
-        .repartitionByRange(*columns, "__copy")
-        .sortWithinPartitions(*columns)
-        .drop("__copy")
-    )
+    salted = df.withColumn("__salt", F.xxhash64(*df.columns, F.spark_partition_id()))
+    ordered = salted.repartitionByRange(*keys, "__salt").sortWithinPartitions(*keys).drop("__salt")
     write_csv(ordered, path)
 
 
