@@ -16,7 +16,7 @@ import oracles  # noqa: E402
 from cohortscope.functions import blank_to, recode, share  # noqa: E402
 from cohortscope.operators import checks, compare, counts, indicators, marts, reshape  # noqa: E402
 from cohortscope.operators.staging import clean_enrolments, harmonise_population  # noqa: E402
-from cohortscope.plans import build  # noqa: E402
+from cohortscope.plans import build, reports  # noqa: E402
 from cohortscope.schemas import POPULATION_RAW, STUDENTS_RAW  # noqa: E402
 from cohortscope.settings import BLOCKS, BOTH_SEXES, FEMALE, SEX_LABELS  # noqa: E402
 from cohortscope.sources import derived, files  # noqa: E402
@@ -177,13 +177,7 @@ def share_declared(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def female_share(spark: SparkSession, sf: str) -> DataFrame:
-    genders = indicators.category_evolution(_students(spark, sf))
-    return genders.where(F.col("gender") == FEMALE).select("year_started", "pct_among_declared")
-
-
-def gender_counts(spark: SparkSession, sf: str) -> DataFrame:
-    counted = counts.count_by(_students(spark, sf), "gender").withColumnRenamed("nb_students", "nb")
-    return counted.orderBy(F.col("nb").desc_nulls_last())
+    return reports.female_share(indicators.category_evolution(_students(spark, sf)))
 
 
 def focus_share(spark: SparkSession, sf: str) -> DataFrame:
@@ -285,7 +279,7 @@ _QUERIES: dict[str, Query] = {
     "share_declared": share_declared,
     "gender_evolution": lambda spark, sf: indicators.category_evolution(_students(spark, sf)),
     "female_share": female_share,
-    "gender_counts": gender_counts,
+    "gender_counts": lambda spark, sf: reports.gender_counts(_students(spark, sf)),
     "age_distribution": lambda spark, sf: indicators.age_distribution(_students(spark, sf)),
     "region_distribution": lambda spark, sf: indicators.region_distribution(_students(spark, sf)),
     "focus_share": focus_share,
@@ -304,7 +298,7 @@ _QUERIES: dict[str, Query] = {
     "annual_synthesis": annual_synthesis,
     "band_group_rollup": band_group_rollup,
     "block_union": _block_export,
-    "block_counts": lambda spark, sf: marts.block_counts(_block_export(spark, sf)),
+    "block_counts": lambda spark, sf: reports.block_counts(_block_export(spark, sf)),
     "export_staging": export_staging,
     "export_blocks": export_blocks,
     "check_not_null": check_not_null,

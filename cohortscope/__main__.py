@@ -10,6 +10,7 @@ from pyspark.sql import SparkSession
 from cohortscope.operators.counts import distinct_values
 from cohortscope.operators.reshape import unpivot_population
 from cohortscope.plans import build
+from cohortscope.plans.reports import reports
 from cohortscope.settings import Settings
 from cohortscope.sources import files
 
@@ -28,6 +29,7 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     marts.add_argument("--benchmark-year", type=int, default=defaults.benchmark_year)
     marts.add_argument("--focus-region", default=defaults.focus_region)
     marts.add_argument("--drop-region", action="append", default=[], help="population label to leave out")
+    marts.add_argument("--report", action="store_true", help="print the verification reports")
     marts.add_argument("--export", action="store_true", help="also write the block export as CSV")
     marts.add_argument("--export-rows", action="store_true", help="also write cleaned enrolments as CSV")
 
@@ -54,6 +56,10 @@ def _build(spark: SparkSession, args: argparse.Namespace) -> None:
     students = files.write_table(files.read_students(spark, args.students), f"{args.out}/students_raw")
     population = files.write_table(files.read_population(spark, args.population), f"{args.out}/population_raw")
     models = build.build(students, population, args.out, settings)
+    if args.report:
+        for name, df in reports(models, settings).items():
+            print(f"\n{name}")
+            df.show(200, truncate=False)
     if args.export or args.export_rows:
         build.export(models, args.out, rows=args.export_rows)
 

@@ -74,12 +74,18 @@ class Check:
     column: str
     violation: Column
     weight: str | None = None
+    shows: str | None = None
 
     def failures(self) -> Column:
         if self.weight:
             return F.coalesce(F.sum(F.when(self.violation, F.col(self.weight))), F.lit(0)).cast("bigint")
         return F.count_if(self.violation)
 
+    def example(self) -> Column:
+        """The least offending value, where a value offends."""
+        shown = F.col(self.shows) if self.shows else F.lit(None)
+        return F.min(F.when(self.violation, shown.cast("string")))
+
 
 def declared_checks(settings: Settings = Settings()) -> list[Check]:
     """The forty checks of the pipeline.
@@ -118,14 +124,18 @@ def declared_checks(settings: Settings = Settings()) -> list[Check]:
             for column in columns
         ),
         *(
-            Check(model, "accepted_values", column, ~F.col(column).isin(*values), counted.get(model))
+            Check(model, "accepted_values", column, ~F.col(column).isin(*values), counted.get(model), column)
             for model, column, values in accepted
         ),
         Check("stg_students", "range", "year_started",
-              (year > max(settings.years)) | (year < min(settings.years)), "nb_students"),
-        Check("repeated_keys", "unique", "USER_ID, year_started", F.lit(True), "nb_repeated_keys"),
-        Check("age_share_sums", "sum_100", "pct_of_year", (total < 99) | (total > 101)),
-        Check("region_share_sums", "sum_100", "pct_of_year", (total < 99) | (total > 101)),
+              (year > max(settings.years)) | (year < min(settings.years)),
+              "nb_students", "year_started"),
+        Check("repeated_keys", "unique", "USER_ID, year_started", F.col("nb_repeated_keys") > 0,
+              "nb_repeated_keys", "year_started"),
+        *(
+            Check(model, "sum_100", "pct_of_year", (total < 99) | (total > 101), None, "year_started")
+            for model in ("age_share_sums", "region_share_sums")
+        ),
     ]
 
 
@@ -141,13 +151,17 @@ def summarise(models: Mapping[str, DataFrame], checks: Iterable[Check]) -> DataF
         own = [check for check in checks if check.model == model]
         if not own:
             continue
-        counted = df.agg(*[check.failures().alias(f"f{i}") for i, check in enumerate(own)])
+        counted = df.agg(
+            *[check.failures().alias(f"f{i}") for i, check in enumerate(own)],
+            *[check.example().alias(f"e{i}") for i, check in enumerate(own)],
+        )
         structs = [
             F.struct(
                 F.lit(check.model).alias("model"),
                 F.lit(check.kind).alias("kind"),
                 F.lit(check.column).alias("column"),
                 F.col(f"f{i}").alias("nb_failures"),
+                F.col(f"e{i}").alias("example"),
             )
             for i, check in enumerate(own)
         ]
@@ -160,7 +174,9 @@ def gate(summary: DataFrame) -> None:
     failed = summary.where(~F.col("passed")).orderBy("model", "kind", "column").collect()
     if failed:
         raise GateFailure("; ".join(
-            f"{line['kind']}({line['model']}.{line['column']}): {line['nb_failures']}" for line in failed
+            f"{line['kind']}({line['model']}.{line['column']}): {line['nb_failures']}"
+            + (f", such as {line['example']}" if line["example"] is not None else "")
+            for line in failed
         ))
 
 

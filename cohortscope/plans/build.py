@@ -123,11 +123,23 @@ def block_mart(base: Models, comparison: DataFrame, settings: Settings = Setting
     )
 
 
+def _ordered(mart: DataFrame, name: str) -> DataFrame:
+    """A mart as one ordered partition: it has a row per label and year. In the comparison a
+    missing gap comes first, as a largest value would."""
+    order = {
+        "annual_synthesis": [F.asc_nulls_last("year_started")],
+        "comparison_mart": [F.asc_nulls_last("dimension"), F.desc_nulls_first("ecart_pts")],
+        "block_export": [F.asc_nulls_last("slide"), F.asc_nulls_last("rang")],
+    }
+    return mart.repartition(1).sortWithinPartitions(*order[name])
+
+
 def with_marts(base: Models, settings: Settings = Settings(), out: str | None = None) -> Models:
-    """Add the marts, written as tables under `out` (or the shared folder)."""
+    """Add the marts, written as ordered tables under `out` (or the shared folder)."""
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        return write_table(df, f"{out}/{name}") if out else land(df, name)
+        mart = _ordered(df, name)
+        return write_table(mart, f"{out}/{name}") if out else land(mart, name)
 
     comparison = write(comparison_mart(base, settings), "comparison_mart")
     tables = land_all({

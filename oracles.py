@@ -87,16 +87,16 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         FROM population_by_sex GROUP BY REGION, AGE_GROUP, ANNEE"""),
     "labelled": (("population_raw",), f"""
         SELECT *, if(REGION = 'Centre-Val-de-Loire', 'Centre-Val de Loire',
-                     if(list_contains({_list(_SOURCE_REGIONS[3:])}, REGION), 'DROM', REGION)) AS region_oc,
-               map {{'Hommes': 'M', 'Femmes': 'F', 'Ensemble': 'Ensemble'}}[SEXE] AS sexe_oc,
+                     if(list_contains({_list(_SOURCE_REGIONS[3:])}, REGION), 'DROM', REGION)) AS to_region,
+               map {{'Hommes': 'M', 'Femmes': 'F', 'Ensemble': 'Ensemble'}}[SEXE] AS to_sexe,
                if(list_position({_list(_BANDS_20)}, AGE_GROUP) > 12, '60 ans ou plus',
                   if(list_position({_list(_BANDS_20)}, AGE_GROUP) > 4,
-                     replace(AGE_GROUP, ' à ', '-'), NULL)) AS band_oc
+                     replace(AGE_GROUP, ' à ', '-'), NULL)) AS to_band
         FROM population_raw"""),
     "stg_population": (("labelled",), """
-        SELECT region_oc AS region, sexe_oc AS sexe, band_oc AS age_group,
+        SELECT to_region AS region, to_sexe AS sexe, to_band AS age_group,
                CAST(sum(POPULATION) AS BIGINT) AS population, ANNEE AS annee
-        FROM labelled WHERE band_oc IS NOT NULL GROUP BY ALL"""),
+        FROM labelled WHERE to_band IS NOT NULL GROUP BY ALL"""),
     "headcount": (("stg_students",), f"""
         SELECT *, {tenths('nb_nr', 'nb_students')} AS silent10,
                {tenths('nb_female', '(nb_male + nb_female)')} AS female10
@@ -233,10 +233,6 @@ def _years(years) -> str:
     return ", ".join(str(y) for y in years)
 
 
-def _count(condition: str) -> str:
-    return f"count(*) FILTER ({condition})"
-
-
 def _check_lines() -> str:
     """Model, kind, column and violations of each of the forty declared checks."""
     years, genders = _years(YEARS), f"'M', 'F', '{SILENT}'"
@@ -264,7 +260,7 @@ def _check_lines() -> str:
     for (model, source), columns in nulls.items():
         for column in columns.split():
             name, _, actual = column.partition("=")
-            lines.append((model, "not_null", name, _count(f"{actual or name} IS NULL"), source))
+            lines.append((model, "not_null", name, f"{actual or name} IS NULL", source, "NULL"))
     for model, source, column, values in (
         ("stg_students", "stg_students", "gender", genders),
         ("stg_students", "stg_students", "year_started", years),
@@ -275,17 +271,21 @@ def _check_lines() -> str:
         ("block_export", "blocks", "slide", slides),
         ("block_export", "blocks", "source_table", block_names),
     ):
-        lines.append((model, "accepted_values", column, _count(f"{column} NOT IN ({values})"), source))
+        lines.append((model, "accepted_values", column, f"{column} NOT IN ({values})", source, column))
     lines.append(("stg_students", "range", "year_started",
-                  _count(f"year_started NOT BETWEEN {YEARS[0]} AND {YEARS[-1]}"), "stg_students"))
-    lines.append(("repeated_keys", "unique", "USER_ID, year_started", _count("n > 1"),
-                  "(SELECT count(*) AS n FROM stg_students GROUP BY USER_ID, year_started)"))
+                  f"year_started NOT BETWEEN {YEARS[0]} AND {YEARS[-1]}", "stg_students", "year_started"))
+    lines.append(("repeated_keys", "unique", "USER_ID, year_started", "n > 1",
+                  "(SELECT year_started, count(*) AS n FROM stg_students GROUP BY USER_ID, year_started)",
+                  "year_started"))
     for model, source in (("age_share_sums", "ages"), ("region_share_sums", "regions")):
-        lines.append((model, "sum_100", "pct_of_year", _count("t < 985 OR t >= 1015"),
-                      f"(SELECT sum(pct10) AS t FROM {source} GROUP BY year_started)"))
+        lines.append((model, "sum_100", "pct_of_year", "t < 985 OR t >= 1015",
+                      f"(SELECT year_started, sum(pct10) AS t FROM {source} GROUP BY year_started)", "year_started"))
     selects = [
-        f"SELECT '{model}' AS model, '{kind}' AS kind, '{column}' AS \"column\", {failures} AS nb_failures FROM {source}"
-        for model, kind, column, failures, source in lines
+        f"""SELECT '{model}' AS model, '{kind}' AS kind, '{column}' AS "column",
+                   count(*) FILTER ({broken}) AS nb_failures,
+                   CAST(min(CAST({shown} AS VARCHAR)) FILTER ({broken}) AS VARCHAR) AS example
+            FROM {source}"""
+        for model, kind, column, broken, source, shown in lines
     ]
     return "SELECT *, nb_failures = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(selects) + ")"
 
@@ -340,12 +340,12 @@ def oracle_sql() -> dict[str, str]:
             FROM students_raw GROUP BY ALL""", "students_raw"),
         "stg_population": _with("SELECT * FROM stg_population", "stg_population"),
         "label_map": _with("""
-            SELECT REGION AS raw_region, region_oc AS region, SEXE AS raw_sexe, sexe_oc AS sexe,
+            SELECT REGION AS raw_region, to_region AS region, SEXE AS raw_sexe, to_sexe AS sexe,
                    CAST(sum(POPULATION) AS BIGINT) AS population
             FROM labelled GROUP BY ALL""", "labelled"),
         "band_map": _with("""
-            SELECT AGE_GROUP AS raw_age_group, band_oc AS age_group, CAST(sum(POPULATION) AS BIGINT) AS population
-            FROM labelled WHERE band_oc IS NOT NULL GROUP BY ALL""", "labelled"),
+            SELECT AGE_GROUP AS raw_age_group, to_band AS age_group, CAST(sum(POPULATION) AS BIGINT) AS population
+            FROM labelled WHERE to_band IS NOT NULL GROUP BY ALL""", "labelled"),
         "filters": _with(f"""
             SELECT * FROM stg_population
             WHERE age_group IN ('25-29 ans', '30-34 ans', '35-39 ans')

@@ -4,7 +4,7 @@ import pytest
 from helpers import rows
 
 from cohortscope.operators import checks, indicators
-from cohortscope.plans import build
+from cohortscope.plans import build, reports
 from cohortscope.schemas import POPULATION_RAW
 from cohortscope.settings import NON_RESPONSE, POPULATION_BANDS, Settings
 from cohortscope.sources.files import read_csv
@@ -62,12 +62,12 @@ def test_weighted_and_plain_failures(spark, students):
         "gender_evolution": indicators.category_evolution(students(*enrol(1, 0, gender="m"))),
     }
     failed = checks.summarise(checked, checks.declared_checks()).where("NOT passed")
-    assert rows(failed, "model", "kind", "column", "nb_failures") == [
-        ("gender_evolution", "accepted_values", "gender", 1),
-        ("stg_students", "accepted_values", "gender", 5),
-        ("stg_students", "accepted_values", "year_started", 5),
-        ("stg_students", "not_null", "region", 5),
-        ("stg_students", "range", "year_started", 5),
+    assert rows(failed, "model", "kind", "column", "nb_failures", "example") == [
+        ("gender_evolution", "accepted_values", "gender", 1, "m"),
+        ("stg_students", "accepted_values", "gender", 5, "m"),
+        ("stg_students", "accepted_values", "year_started", 5, "2030"),
+        ("stg_students", "not_null", "region", 5, None),
+        ("stg_students", "range", "year_started", 5, "2030"),
     ]
 
 
@@ -77,10 +77,11 @@ def test_an_empty_model_passes(spark):
 
 
 def test_gate(spark):
-    schema = "model string, kind string, column string, nb_failures bigint, passed boolean"
-    checks.gate(spark.createDataFrame([("m", "range", "c", 0, True)], schema))
-    with pytest.raises(checks.GateFailure, match=r"range\(m\.c\): 3"):
-        checks.gate(spark.createDataFrame([("m", "range", "c", 3, False), ("m", "unique", "d", 0, True)], schema))
+    schema = "model string, kind string, column string, nb_failures bigint, example string, passed boolean"
+    checks.gate(spark.createDataFrame([("m", "range", "c", 0, None, True)], schema))
+    failing = [("m", "range", "c", 3, "2021", False), ("m", "unique", "d", 0, None, True)]
+    with pytest.raises(checks.GateFailure, match=r"range\(m\.c\): 3, such as 2021$"):
+        checks.gate(spark.createDataFrame(failing, schema))
 
 
 def test_reconcile(spark):
@@ -116,6 +117,12 @@ def test_build_writes_checked_marts(spark, raw_students, raw_population, tmp_pat
     summary = build.check_summary(models)
     assert summary.count() == 40 and summary.where("NOT passed").isEmpty()
 
+    assert [r.rang for r in models["block_export"].where("slide = 8").collect()] == [1, 2, 3, 4]
+    found = reports.reports(models)
+    assert len(found) == 11 and not any(df.isEmpty() for df in found.values())
+    assert [r.region for r in found["region_comparison"].collect()][-1] == "Corse"
+    assert rows(found["returning_users"]) == [(64, 64, 0)]
+
     models.register_views()
     assert spark.sql("SELECT count(*) FROM stg_students").first()[0] == 64
     assert spark.sql("SELECT detail FROM comparison_mart WHERE dimension = 'region' AND pct_oc IS NULL").first()[0] == "Corse"

@@ -14,8 +14,9 @@ def test_reshape_then_build(spark, sf_dir, tmp_path, capsys):
     assert "REGION" in capsys.readouterr().out
 
     files.write_csv(derived.students_raw(spark, sf_dir).where("USER_ID IS NOT NULL"), students)
-    main(["build", "--students", students, "--population", long, "--out", out, "--export",
+    main(["build", "--students", students, "--population", long, "--out", out, "--export", "--report",
           "--benchmark-year", "1997", "--years", *map(str, derived.SETTINGS.years)])
+    assert "headline_synthesis" in capsys.readouterr().out
     blocks = spark.read.parquet(f"{out}/block_export")
     assert spark.read.option("header", True).csv(f"{out}/block_export_csv").count() == blocks.count()
     assert not (tmp_path / "out" / "stg_students_csv").exists()
