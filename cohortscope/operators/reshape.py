@@ -44,18 +44,22 @@ def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
 
     A narrow operation: every input row becomes at most 60 output rows, without a shuffle.
     """
-    text = _text_cells(wide)
-    cells = [
-        f"'{sex}', '{band}', " + (f"CAST(CAST({c} AS DECIMAL(38, 9)) AS BIGINT)" if c in text else f"CAST({c} AS BIGINT)")
+    text = bool(_text_cells(wide))
+    number = "CAST(cell AS DECIMAL(38, 9))" if text else "cell"
+    cells = ", ".join(
+        f"'{sex}', '{band}', " + (f"CAST(c{first + i} AS STRING)" if text else f"c{first + i}")
         for sex, first in SEX_BLOCKS.items()
-        for c, band in ((f"c{first + i}", band) for i, band in enumerate(POPULATION_BANDS))
-    ]
+        for i, band in enumerate(POPULATION_BANDS)
+    )
     return (
         filter_footnotes(select_years(wide, years))
         .selectExpr(
-            "region AS REGION",
-            f"stack({len(cells)}, {', '.join(cells)}) AS (SEXE, AGE_GROUP, POPULATION)",
-            "year AS ANNEE",
+            "region",
+            f"stack({len(SEX_BLOCKS) * len(POPULATION_BANDS)}, {cells}) AS (SEXE, AGE_GROUP, cell)",
+            "year",
+        )
+        .where("cell IS NOT NULL")
+        .selectExpr(
+            "region AS REGION", "SEXE", "AGE_GROUP", f"CAST({number} AS BIGINT) AS POPULATION", "year AS ANNEE"
         )
-        .where("POPULATION IS NOT NULL")
     )

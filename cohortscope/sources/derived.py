@@ -134,7 +134,10 @@ def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 def population_wide(population: DataFrame) -> DataFrame:
     """Yearly sheets of the long population: one row per region, plus the rows that sheets carry
     around the data (headings, national totals, a blank region, notes). Cells are text with
-    decimals, as a spreadsheet saves them."""
+    decimals, as a spreadsheet saves them.
+
+    Each long row goes to all the sheet rows it adds to, so one aggregation makes the sheets.
+    """
     heading = {name: "Total" for name in WIDE_COLUMNS}
     conditions = {}
     for sex, first in SEX_BLOCKS.items():
@@ -142,18 +145,17 @@ def population_wide(population: DataFrame) -> DataFrame:
         for i, band in enumerate(POPULATION_BANDS):
             heading[f"c{first + i}"] = band
             conditions[f"c{first + i}"] = f"SEXE = '{sex}' AND AGE_GROUP = '{band}'"
-    regions = population.groupBy(F.col("REGION").alias("region"), F.col("ANNEE").alias("year")).agg(
+
+    def labels(*names: str) -> str:
+        return ", ".join(f"'{name}'" for name in names)
+
+    text_rows = labels("Régions", "Source : état civil", "Champ : France", "Note : révisé")
+    entries = population.selectExpr(
+        f"explode(array(REGION, {labels(*NATIONAL_TOTALS, '')}, {text_rows})) AS region",
+        "SEXE", "AGE_GROUP", "POPULATION", "ANNEE AS year",
+    ).withColumn("POPULATION", F.expr(f"if(region IN ({text_rows}), NULL, POPULATION)"))
+    sheets = entries.groupBy("region", "year").agg(
         *[F.expr(f"sum(POPULATION) FILTER (WHERE {conditions[c]})").alias(c) for c in WIDE_COLUMNS]
     )
-    national = regions.groupBy("year").agg(*[F.expr(f"sum({c})").alias(c) for c in WIDE_COLUMNS])
-    totals = ", ".join(f"'{label}'" for label in (*NATIONAL_TOTALS, ""))
-    numbers = [f"{c} || '.7' AS {c}" for c in WIDE_COLUMNS]
-    headings = [f"if(region = 'Régions', '{heading[c]}', NULL) AS {c}" for c in WIDE_COLUMNS]
-    text_rows = regions.select("year").distinct().selectExpr(
-        "explode(array('Régions', 'Source : état civil', 'Champ : France', 'Note : révisé')) AS region", "year"
-    )
-    return (
-        regions.selectExpr("region", *numbers, "year")
-        .unionByName(national.selectExpr(f"explode(array({totals})) AS region", *numbers, "year"))
-        .unionByName(text_rows.selectExpr("region", *headings, "year"))
-    )
+    cells = [f"if(region = 'Régions', '{heading[c]}', {c} || '.7') AS {c}" for c in WIDE_COLUMNS]
+    return sheets.selectExpr("region", *cells, "year")
