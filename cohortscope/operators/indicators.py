@@ -91,4 +91,6 @@ def age_distribution(df: DataFrame, midpoints: Mapping[str, int] = BAND_MIDPOINT
 def region_distribution(df: DataFrame, focus_region: str = FOCUS_REGION) -> DataFrame:
     """Regions per year, split into the focus region's zone and the rest."""
     zone = F.when(F.col("region") == focus_region, F.lit(FOCUS_ZONE)).otherwise(F.lit(OTHER_ZONE))
-    return distribution(df, "region").withColumn("zone", zone)
+    return distribution(df, "region").select(
+        "year_started", "region", COUNT, "total_year", "pct_of_year", zone.alias("zone"), "rang"
+    )

@@ -34,10 +34,10 @@ class Models:
     def __getitem__(self, name: str) -> DataFrame:
         return self.frames[name]
 
-    def register_views(self) -> None:
-        """Make every model a temporary view, for SQL by model name."""
+    def register_views(self, names: Mapping[str, str] | None = None) -> None:
+        """Make every model a temporary view, for SQL by model name or by the name given for it."""
         for name, df in self.frames.items():
-            df.createOrReplaceTempView(name)
+            df.createOrReplaceTempView((names or {}).get(name, name))
 
 
 def _student_inputs(students_raw: DataFrame, settings: Settings) -> dict[str, DataFrame]:

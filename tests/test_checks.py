@@ -123,9 +123,9 @@ def test_build_writes_checked_marts(spark, raw_students, raw_population, tmp_pat
     assert [r.region for r in found["region_comparison"].collect()][-1] == "Corse"
     assert rows(found["returning_users"]) == [(64, 64, 0)]
 
-    models.register_views()
+    models.register_views({"comparison_mart": "mart_benchmark"})
     assert spark.sql("SELECT count(*) FROM stg_students").first()[0] == 64
-    assert spark.sql("SELECT detail FROM comparison_mart WHERE dimension = 'region' AND pct_oc IS NULL").first()[0] == "Corse"
+    assert spark.sql("SELECT detail FROM mart_benchmark WHERE dimension = 'region' AND pct_oc IS NULL").first()[0] == "Corse"
 
     build.export(models, out, rows=True)
     exported = read_csv(spark, f"{out}/stg_students_csv", models["stg_students"].schema)
