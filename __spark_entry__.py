@@ -305,7 +305,7 @@ _QUERIES: dict[str, Query] = {
     "check_accepted": lambda spark, sf: checks.accepted_values(
         derived.students_raw(spark, sf), "GENDER", ["M", "F"]),
     "check_unique": lambda spark, sf: checks.unique(
-        clean_enrolments(derived.enrolment_events(spark, sf)), ["USER_ID", "year_started"]),
+        derived.enrolments_per_order(spark, sf), ["USER_ID", "year_started"]),
     "check_range": lambda spark, sf: checks.in_range(_students(spark, sf), "year_started", 1996, 2000),
     "check_sum_100": check_sum_100,
     "reconcile": reconcile,

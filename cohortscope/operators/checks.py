@@ -185,7 +185,7 @@ def reconcile(actual: DataFrame, expected: Mapping[str, int]) -> DataFrame:
     listed = F.explode(F.map_from_arrays(
         F.array(*[F.lit(name) for name in expected]), F.array(*[F.lit(n).cast("bigint") for n in expected.values()])
     )).alias("metric", "expected")
-    wanted = actual.sparkSession.range(1).select(listed)
+    wanted = actual.sparkSession.range(0, 1, 1, 1).select(listed)
     return (
         actual.select("metric", F.col("value").cast("bigint").alias("actual"))
         .join(wanted, "metric", "full_outer")

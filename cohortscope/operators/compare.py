@@ -90,7 +90,7 @@ def observed_profile(df: DataFrame) -> DataFrame:
         F.inline(F.array(_entry("region", F.col("region"), n, n), women, _entry("age", F.col("age_group"), n, n)))
     )
     # The women's line is there even without any enrolment.
-    no_women = df.sparkSession.range(1).select(F.inline(F.array(_entry("genre", WOMEN, F.lit(0), F.lit(0)))))
+    no_women = df.sparkSession.range(0, 1, 1, 1).select(F.inline(F.array(_entry("genre", WOMEN, F.lit(0), F.lit(0)))))
     return _profile(entries.unionByName(no_women), "nb_oc", "pct_oc")
 
 

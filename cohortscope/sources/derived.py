@@ -91,10 +91,12 @@ def students_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_students(rows.where(_IDENTIFIED), _USER_ID).unionByName(anonymous)
 
 
-def enrolment_events(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One raw row per order, so a customer can repeat within a year."""
-    rows = _orders(spark, sf_dir).join(_customers(spark, sf_dir), "ck")
-    return _as_students(rows, f"CASE WHEN {_IDENTIFIED} THEN {_USER_ID} END")
+def enrolments_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User and year of every order, so a user can repeat within a year."""
+    return (
+        _orders(spark, sf_dir).where(f"ck IS NOT NULL AND {_IDENTIFIED}")
+        .selectExpr(f"{_USER_ID} AS USER_ID", "y AS year_started")
+    )
 
 
 def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:

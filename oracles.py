@@ -45,14 +45,6 @@ _ENROLMENT_SOURCE = """
          FROM orders JOIN customer ON c_custkey = o_custkey)"""
 
 
-def _staged(source: str) -> str:
-    return f"""
-        SELECT USER_ID, PATH_CATEGORY_NAME, trim(AGE_GROUP) AS age_group,
-               coalesce(nullif(trim(GENDER), ''), '{SILENT}') AS gender,
-               trim(REGION) AS region, YEAR_PATH_STARTED AS year_started
-        FROM {source} WHERE USER_ID IS NOT NULL"""
-
-
 _MIDPOINT = "if(age_group = '60 ans ou plus', 65, CAST(left(age_group, 2) AS INTEGER) + 2)"
 
 
@@ -69,10 +61,12 @@ def _yearly(label: str) -> str:
 
 # Named building blocks in dependency order: name -> (needs, SQL).
 _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
-    "events": ((), f"SELECT {_ENROLMENT_COLUMNS} FROM {_ENROLMENT_SOURCE}"),
-    "students_raw": (("events",), "SELECT DISTINCT * FROM events"),
-    "stg_events": (("events",), _staged("events")),
-    "stg_students": (("students_raw",), _staged("students_raw")),
+    "students_raw": ((), f"SELECT DISTINCT {_ENROLMENT_COLUMNS} FROM {_ENROLMENT_SOURCE}"),
+    "stg_students": (("students_raw",), f"""
+        SELECT USER_ID, PATH_CATEGORY_NAME, trim(AGE_GROUP) AS age_group,
+               coalesce(nullif(trim(GENDER), ''), '{SILENT}') AS gender,
+               trim(REGION) AS region, YEAR_PATH_STARTED AS year_started
+        FROM students_raw WHERE USER_ID IS NOT NULL"""),
     "population_by_sex": ((), f"""
         SELECT coalesce(({_list(_SOURCE_REGIONS)})[s_nationkey % 19 + 1], 'NATION_' || s_nationkey % 19) AS REGION,
                if(l_linenumber % 2 = 0, 'Femmes', 'Hommes') AS SEXE,
@@ -423,9 +417,10 @@ def oracle_sql() -> dict[str, str]:
         "check_accepted": _with("""
             SELECT GENDER AS value, count(*) AS nb_rows FROM students_raw
             WHERE GENDER NOT IN ('M', 'F') GROUP BY GENDER""", "students_raw"),
-        "check_unique": _with("""
-            SELECT USER_ID, year_started, count(*) AS nb_occurrences
-            FROM stg_events GROUP BY USER_ID, year_started HAVING nb_occurrences <> 1""", "stg_events"),
+        "check_unique": """
+            SELECT 'u' || o_custkey AS USER_ID, CAST(year(o_orderdate) AS INTEGER) AS year_started,
+                   count(*) AS nb_occurrences
+            FROM orders WHERE o_custkey % 211 <> 7 GROUP BY ALL HAVING nb_occurrences <> 1""",
         "check_range": _with("SELECT * FROM stg_students WHERE year_started NOT BETWEEN 1996 AND 2000",
                              "stg_students"),
         "check_sum_100": _with("""
