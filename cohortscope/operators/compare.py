@@ -116,7 +116,7 @@ def compare_share(df: DataFrame, population: DataFrame, year: int) -> DataFrame:
     """The women's line alone: share among respondents against share of the population."""
     return (
         comparison(df, population, year)
-        .where((F.col("dimension") == "genre"))
+        .where(F.col("dimension") == "genre")
         .select(
             F.col("pct_oc").alias("pct_f_oc"), F.col("pct_insee").alias("pct_f_insee"), "ecart_pts"
         )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope.operators import counts, marts
@@ -10,6 +10,10 @@ from cohortscope.plans.build import Models
 from cohortscope.settings import FEMALE, Settings
 
 
+def _by_year(report: DataFrame, *then: Column) -> DataFrame:
+    return report.orderBy(F.asc_nulls_last("year_started"), *then)
+
+
 def gender_counts(students: DataFrame) -> DataFrame:
     """Rows per gender, most frequent first."""
     return (
@@ -19,19 +23,17 @@ def gender_counts(students: DataFrame) -> DataFrame:
 
 
 def headcounts(headcount: DataFrame) -> DataFrame:
-    return headcount.select("year_started", "nb_students", "nb_students_distincts").orderBy("year_started")
+    return _by_year(headcount.select("year_started", "nb_students", "nb_students_distincts"))
 
 
 def gender_shares(genders: DataFrame) -> DataFrame:
-    return genders.select("year_started", "gender", "pct_of_year").orderBy("year_started", "gender")
+    return _by_year(genders.select("year_started", "gender", "pct_of_year"), F.asc_nulls_last("gender"))
 
 
 def female_share(genders: DataFrame) -> DataFrame:
     """Women among respondents, by year."""
-    return (
-        genders.where(F.col("gender") == FEMALE)
-        .select("year_started", "pct_among_declared").orderBy("year_started")
-    )
+    women = genders.where(F.col("gender") == FEMALE)
+    return _by_year(women.select("year_started", "pct_among_declared"))
 
 
 def age_comparison(comparison: DataFrame) -> DataFrame:
@@ -44,10 +46,8 @@ def age_comparison(comparison: DataFrame) -> DataFrame:
 
 def top_bands(ages: DataFrame, k: int) -> DataFrame:
     """The leading bands of each year by share."""
-    return (
-        counts.top_per_group(ages, k).select("year_started", "age_group", "pct_of_year")
-        .orderBy("year_started", F.col("pct_of_year").desc())
-    )
+    top = counts.top_per_group(ages, k).select("year_started", "age_group", "pct_of_year")
+    return _by_year(top, F.desc_nulls_first("pct_of_year"))
 
 
 def region_comparison(comparison: DataFrame) -> DataFrame:
@@ -76,7 +76,7 @@ def reports(models: Models, settings: Settings = Settings()) -> dict[str, DataFr
         "age_comparison": age_comparison(comparison),
         "top_bands": top_bands(models["age_distribution"], settings.top_bands),
         "region_comparison": region_comparison(comparison),
-        "focus_share": marts.focus_share(regions, focus).orderBy("year_started"),
+        "focus_share": _by_year(marts.focus_share(regions, focus)),
         "headline_synthesis": marts.headline_synthesis(comparison, settings),
         "block_counts": block_counts(models["block_export"]),
     }

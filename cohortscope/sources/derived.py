@@ -35,10 +35,13 @@ _POPULATION_REGIONS = (
 )
 
 
+def _quoted(labels) -> str:
+    return ", ".join(f"'{label}'" for label in labels)
+
+
 def _at(labels, index: str) -> str:
     """SQL for the label at a zero-based index."""
-    listed = ", ".join(f"'{label}'" for label in labels)
-    return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
+    return f"element_at(array({_quoted(labels)}), CAST({index} AS INT) + 1)"
 
 
 @cache
@@ -141,23 +144,21 @@ def population_wide(population: DataFrame) -> DataFrame:
     Each long row goes to all the sheet rows it adds to, so one aggregation makes the sheets.
     """
     heading = {name: "Total" for name in WIDE_COLUMNS}
-    conditions = {}
+    slots = []
     for sex, first in SEX_BLOCKS.items():
-        conditions[f"c{first + len(POPULATION_BANDS)}"] = f"SEXE = '{sex}'"
-        for i, band in enumerate(POPULATION_BANDS):
-            heading[f"c{first + i}"] = band
-            conditions[f"c{first + i}"] = f"SEXE = '{sex}' AND AGE_GROUP = '{band}'"
-
-    def labels(*names: str) -> str:
-        return ", ".join(f"'{name}'" for name in names)
+        total = first + len(POPULATION_BANDS)
+        cell = f"'c' || ({first - 1} + array_position(array({_quoted(POPULATION_BANDS)}), AGE_GROUP))"
+        slots.append(f"WHEN SEXE = '{sex}' THEN array({cell}, 'c{total}')")
+        heading.update({f"c{first + i}": band for i, band in enumerate(POPULATION_BANDS)})
 
-    text_rows = labels("Régions", "Source : état civil", "Champ : France", "Note : révisé")
+    text_rows = ("Régions", "Source : état civil", "Champ : France", "Note : révisé")
     entries = population.selectExpr(
-        f"explode(array(REGION, {labels(*NATIONAL_TOTALS, '')}, {text_rows})) AS region",
-        "SEXE", "AGE_GROUP", "POPULATION", "ANNEE AS year",
-    ).withColumn("POPULATION", F.expr(f"if(region IN ({text_rows}), NULL, POPULATION)"))
-    sheets = entries.groupBy("region", "year").agg(
-        *[F.expr(f"sum(POPULATION) FILTER (WHERE {conditions[c]})").alias(c) for c in WIDE_COLUMNS]
+        f"explode(array(REGION, {_quoted((*NATIONAL_TOTALS, '', *text_rows))})) AS region",
+        f"CASE {' '.join(slots)} END AS slots", "POPULATION", "ANNEE AS year",
+    ).selectExpr(
+        "region", "year", "explode(slots) AS slot",
+        f"if(region IN ({_quoted(text_rows)}), NULL, POPULATION) AS POPULATION",
     )
+    sheets = entries.groupBy("region", "year").pivot("slot", WIDE_COLUMNS).agg(F.sum("POPULATION"))
     cells = [f"if(region = 'Régions', '{heading[c]}', {c} || '.7') AS {c}" for c in WIDE_COLUMNS]
     return sheets.selectExpr("region", *cells, "year")

@@ -59,14 +59,15 @@ def write_table(df: DataFrame, path: str) -> DataFrame:
 
 
 def export_rows(df: DataFrame, path: str, keys: Sequence[str]) -> None:
-    """Write every row to CSV files whose concatenation is sorted by `keys`.
+    """Write every row to CSV files whose concatenation is sorted by `keys`, nulls last.
 
     A few key values can hold most rows, so the ranges also split by a salt: a hash of the row and
     of the task that holds it. Even copies of one row spread over as many ranges as tasks hold
     them, and a task that runs again computes the same salts.
     """
     salted = df.withColumn("__salt", F.xxhash64(*df.columns, F.spark_partition_id()))
-    ordered = salted.repartitionByRange(*keys, "__salt").sortWithinPartitions(*keys).drop("__salt")
+    order = [F.asc_nulls_last(key) for key in keys]
+    ordered = salted.repartitionByRange(*order, "__salt").sortWithinPartitions(*order).drop("__salt")
     write_csv(ordered, path)
 
 

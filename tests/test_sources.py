@@ -91,6 +91,12 @@ def test_row_export_is_globally_ordered_and_whole(spark, students, tmp_path):
     assert rows(files.read_csv(spark, path, df.schema)) == rows(df)
 
 
+def test_row_export_puts_missing_keys_last(students, tmp_path):
+    df = students(("u1", "a", "M", None, 2022), ("u2", "a", "M", "DROM", 2022), ("u3", "a", "M", "b", None))
+    files.export_rows(df, str(tmp_path / "nulls"), ["year_started", "region"])
+    assert [line.split(",")[0] for line in exported_rows(str(tmp_path / "nulls"))] == ["u2", "u1", "u3"]
+
+
 def test_row_export_splits_copies_of_one_row(spark, students, tmp_path):
     copies = [("u1", "25-29 ans", "F", "DROM", 2023)] * 3000
     others = [(f"v{i}", "25-29 ans", "F", "DROM", 2022) for i in range(500)]
