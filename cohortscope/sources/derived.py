@@ -105,8 +105,9 @@ def enrolments_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Population by region, sex, band and year, with the both-sexes rows.
 
-    Line items are added up by code first; labels and the both-sexes rows are made from those few
-    thousand sums. A supplier with very many lines is split by the adaptive skew join.
+    Line items are added up by supplier before the join, so a supplier with very many lines sends
+    a few hundred sums, and by nation code after it. Labels and the both-sexes rows are made from
+    the few thousand sums that are left.
     """
     lines = _table(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey AS sk",
@@ -116,9 +117,11 @@ def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
         "CAST(l_quantity AS BIGINT) AS quantity",
     )
     suppliers = _table(spark, sf_dir, "supplier").selectExpr("s_suppkey AS sk", "s_nationkey % 19 AS code")
+    quantity = F.sum("quantity").alias("quantity")
     by_sex = (
-        lines.join(suppliers, "sk").groupBy("code", "odd", "band", "ANNEE")
-        .agg(F.sum("quantity").alias("quantity"))
+        lines.groupBy("sk", "odd", "band", "ANNEE").agg(quantity)
+        .join(suppliers, "sk")
+        .groupBy("code", "odd", "band", "ANNEE").agg(quantity)
     )
     known = len(_POPULATION_REGIONS)
     return (

@@ -37,10 +37,14 @@ def test_order_tables_are_read_once_each(spark, sf_dir):
         assert physical.count("orders.parquet") <= (2 if name == "load_summary" else 1)
 
 
-def test_orders_shrink_before_the_join(spark, sf_dir):
-    physical = plan(clean_enrolments(derived.students_raw(spark, sf_dir)))[1]
-    join = re.search(r"\w*HashJoin|SortMergeJoin", physical).start()
-    assert "HashAggregate(keys=[ck" in physical[join:]
+def test_facts_shrink_before_their_join(spark, sf_dir):
+    for df, keys in (
+        (clean_enrolments(derived.students_raw(spark, sf_dir)), "HashAggregate(keys=[ck"),
+        (derived.population_raw(spark, sf_dir), "HashAggregate(keys=[sk"),
+    ):
+        physical = plan(df)[1]
+        join = re.search(r"\w*HashJoin|SortMergeJoin", physical).start()
+        assert keys in physical[join:]
 
 
 def test_headcount_reads_three_columns(table):
