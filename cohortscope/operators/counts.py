@@ -49,13 +49,12 @@ def share_of_total(
 ) -> DataFrame:
     """Add the total of `base` (default: the measure) within the keys, and the measure's share.
 
-    Without keys the total is over the whole frame; pass counted rows only.
+    Without keys the total is over the whole frame. It is then a subquery that adds up the tasks'
+    sums and reads the frame's own shuffle again, where a window would move all rows to one task.
     """
-    window = Window.partitionBy(*within)
-    return (
-        counts.withColumn(total, F.sum(base or measure).over(window))
-        .withColumn(pct, share(F.col(measure), F.col(total)))
-    )
+    base = F.sum(base or measure)
+    whole = base.over(Window.partitionBy(*within)) if within else counts.agg(base).scalar()
+    return counts.withColumn(total, whole).withColumn(pct, share(F.col(measure), F.col(total)))
 
 
 def rank_within(

@@ -76,3 +76,12 @@ def test_raw_rows_are_combined_before_every_shuffle(table):
 def test_top_k_is_limited_before_the_window(table):
     top = counts.top_per_group(indicators.distribution(clean_enrolments(table), "age_group"), 5)
     assert "WindowGroupLimit" in plan(top)[1]
+
+
+def test_global_shares_read_the_rows_once_and_move_none_to_one_task(spark, sf_dir):
+    for name in ("global_share", "benchmark_share"):
+        df = registry.queries()[name](spark, sf_dir)
+        df.collect()
+        final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+        assert "Window" not in final
+        assert "ReusedExchange" in final
