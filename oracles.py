@@ -59,6 +59,44 @@ def _yearly(label: str) -> str:
           USING (year_started)"""
 
 
+_BLOCK_NAMES = {
+    8: "S08_effectifs_par_annee",
+    9: "S09_parite_homme_femme",
+    10: "S10_distribution_age",
+    11: "S11_evolution_age_top5",
+    12: "S12_repartition_geographique",
+    13: "S13_evolution_pct_idf",
+    14: "S14_S16_comparaison_insee_synthese",
+}
+
+
+def _blocks() -> str:
+    """Lines of the seven blocks: source rows, label columns, values in tenths, numbering."""
+    year, both = "year_started::VARCHAR", "oc10, insee10, gap10"
+    lines = (
+        (8, "headcount", year, "NULL", "nb_students * 10, NULL, NULL", "rank() OVER (ORDER BY year_started)"),
+        (9, "genders", year, "gender", "n * 10, pct10, NULL",
+         "rank() OVER (PARTITION BY year_started ORDER BY gender)"),
+        (10, "(FROM compared WHERE dimension = 'age')", "'global'", "detail", both, "rank() OVER (ORDER BY detail)"),
+        (11, "(FROM ages WHERE rang < 6)", year, "age_group", "pct10, NULL, NULL",
+         "rank() OVER (ORDER BY year_started, pct10 DESC, age_group)"),
+        (12, "(FROM compared WHERE dimension = 'region')", "'global'", "detail", both,
+         "rank() OVER (ORDER BY oc10 IS NULL, oc10 DESC, detail)"),
+        (13, f"(FROM regions WHERE region = '{FOCUS}')", year, "region", "pct10, NULL, NULL",
+         "rank() OVER (ORDER BY year_started)"),
+        (14, "(FROM headlines UNION ALL BY NAME FROM key_bands)", "dimension", "detail", both,
+         "list_position(['genre', 'region', 'age'], dimension)"),
+    )
+    union = "\nUNION ALL\n".join(
+        f"SELECT {slide}, '{_BLOCK_NAMES[slide]}', {dimension}, {detail}, {values}, {number} FROM {source}"
+        for slide, source, dimension, detail, values, number in lines
+    )
+    return f"""
+        SELECT slide, source_table, dimension, CAST(detail AS VARCHAR) AS detail, a / 10.0 AS valeur,
+               b / 10.0 AS valeur_2, c / 10.0 AS ecart, CAST(line AS BIGINT) AS rang
+        FROM ({union}) AS lines (slide, source_table, dimension, detail, a, b, c, line)"""
+
+
 # Named building blocks in dependency order: name -> (needs, SQL).
 _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
     "students_raw": ((), f"SELECT DISTINCT {_ENROLMENT_COLUMNS} FROM {_ENROLMENT_SOURCE}"),
@@ -166,41 +204,7 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
         LEFT JOIN (FROM regions WHERE rang = 1) AS lead USING (year_started)
         LEFT JOIN (FROM ages WHERE rang = 1) AS band USING (year_started)
         LEFT JOIN (FROM regions WHERE region = '{FOCUS}') AS f USING (year_started)"""),
-    "blocks": (("headcount", "genders", "ages", "regions", "compared", "key_bands", "headlines"), f"""
-        SELECT 8 AS slide, 'S08_effectifs_par_annee' AS source_table, CAST(year_started AS VARCHAR) AS dimension,
-               CAST(NULL AS VARCHAR) AS detail, CAST(nb_students AS DOUBLE) AS valeur,
-               CAST(NULL AS DOUBLE) AS valeur_2, CAST(NULL AS DOUBLE) AS ecart,
-               rank() OVER (ORDER BY year_started) AS rang
-        FROM headcount
-        UNION ALL BY NAME
-        SELECT 9 AS slide, 'S09_parite_homme_femme' AS source_table, CAST(year_started AS VARCHAR) AS dimension,
-               gender AS detail, CAST(n AS DOUBLE) AS valeur, pct10 / 10.0 AS valeur_2,
-               rank() OVER (PARTITION BY year_started ORDER BY gender) AS rang
-        FROM genders
-        UNION ALL BY NAME
-        SELECT 10 AS slide, 'S10_distribution_age' AS source_table, 'global' AS dimension, detail,
-               oc10 / 10.0 AS valeur, insee10 / 10.0 AS valeur_2, gap10 / 10.0 AS ecart,
-               rank() OVER (ORDER BY detail) AS rang
-        FROM compared WHERE dimension = 'age'
-        UNION ALL BY NAME
-        SELECT 11 AS slide, 'S11_evolution_age_top5' AS source_table, CAST(year_started AS VARCHAR) AS dimension,
-               age_group AS detail, pct10 / 10.0 AS valeur,
-               rank() OVER (ORDER BY year_started, pct10 DESC, age_group) AS rang
-        FROM ages WHERE ages.rang < 6
-        UNION ALL BY NAME
-        SELECT 12 AS slide, 'S12_repartition_geographique' AS source_table, 'global' AS dimension, detail,
-               oc10 / 10.0 AS valeur, insee10 / 10.0 AS valeur_2, gap10 / 10.0 AS ecart,
-               rank() OVER (ORDER BY oc10 IS NULL, oc10 DESC, detail) AS rang
-        FROM compared WHERE dimension = 'region'
-        UNION ALL BY NAME
-        SELECT 13 AS slide, 'S13_evolution_pct_idf' AS source_table, CAST(year_started AS VARCHAR) AS dimension,
-               region AS detail, pct10 / 10.0 AS valeur, rank() OVER (ORDER BY year_started) AS rang
-        FROM regions WHERE region = '{FOCUS}'
-        UNION ALL BY NAME
-        SELECT 14 AS slide, 'S14_S16_comparaison_insee_synthese' AS source_table, dimension, detail,
-               oc10 / 10.0 AS valeur, insee10 / 10.0 AS valeur_2, gap10 / 10.0 AS ecart,
-               if(dimension = 'genre', 1, if(dimension = 'region', 2, 3)) AS rang
-        FROM (FROM headlines UNION ALL BY NAME FROM key_bands)"""),
+    "blocks": (("headcount", "genders", "ages", "regions", "compared", "key_bands", "headlines"), _blocks()),
     "block_lines": (("blocks",),
                     "SELECT slide, source_table, count(*) AS nb_lignes FROM blocks GROUP BY ALL"),
 }
@@ -231,13 +235,7 @@ def _check_lines() -> str:
     """Model, kind, column and violations of each of the forty declared checks."""
     years, genders = _years(YEARS), f"'M', 'F', '{SILENT}'"
     slides = _years(range(8, 15))
-    block_names = ", ".join(
-        f"'{name}'" for name in (
-            "S08_effectifs_par_annee", "S09_parite_homme_femme", "S10_distribution_age",
-            "S11_evolution_age_top5", "S12_repartition_geographique", "S13_evolution_pct_idf",
-            "S14_S16_comparaison_insee_synthese",
-        )
-    )
+    block_names = ", ".join(f"'{name}'" for name in _BLOCK_NAMES.values())
     nulls = {
         ("students_raw", "students_raw"): "USER_ID AGE_GROUP REGION YEAR_PATH_STARTED",
         ("population_raw", "population_raw"): "REGION SEXE AGE_GROUP POPULATION ANNEE",
@@ -306,7 +304,7 @@ def oracle_sql() -> dict[str, str]:
     staged = _with("SELECT * FROM stg_students", "stg_students")
     headcount = ("year_started, nb_students, nb_students_distincts, nb_male, nb_female, nb_nr, "
                  "silent10 / 10.0 AS taux_non_reponse, female10 / 10.0 AS pct_female_among_declared")
-    blocks = _with("SELECT * REPLACE (CAST(rang AS BIGINT) AS rang) FROM blocks", "blocks")
+    blocks = _with("SELECT * FROM blocks", "blocks")
     mart = _with("SELECT * FROM mart", "mart")
     return {
         "src_students": raw_students,
@@ -405,7 +403,7 @@ def oracle_sql() -> dict[str, str]:
         "export_blocks": _with("""
             SELECT slide, source_table, dimension, detail,
                    if(slide < 10, CAST(CAST(valeur AS BIGINT) AS VARCHAR), printf('%.1f', valeur)) AS valeur,
-                   valeur_2, ecart, CAST(rang AS BIGINT) AS rang
+                   valeur_2, ecart, rang
             FROM blocks""", "blocks"),
         "check_not_null": _with("""
             SELECT 'USER_ID' AS "column", count(*) FILTER (USER_ID IS NULL) AS nb_null FROM students_raw
