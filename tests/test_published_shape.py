@@ -1,0 +1,81 @@
+"""A build on synthetic inputs of the published size has the published row counts."""
+
+import random
+
+import pytest
+from helpers import rows
+
+from cohortscope.operators import checks, marts
+from cohortscope.plans import build, reports
+from cohortscope.schemas import POPULATION_RAW, STUDENTS_RAW
+from cohortscope.settings import BAND_MIDPOINTS, BLOCKS, POPULATION_BANDS, Settings
+
+# Published figures: enrolments by year, distinct and returning users, lines per block.
+ENROLMENTS = {2022: 1696, 2023: 1150, 2024: 850, 2025: 951}
+DISTINCT, RETURNING = 4010, 568
+BLOCK_LINES = dict(zip(BLOCKS, (4, 12, 9, 20, 14, 4, 3), strict=True))
+
+METROPOLITAN = ["Île-de-France", "Centre-Val de Loire", *(f"Région {i}" for i in range(10))]
+OVERSEAS = ["Guadeloupe", "Martinique", "Guyane", "La Réunion", "Mayotte", "DOM"]
+
+
+def enrolments():
+    """568 users return, 69 of them twice; labels are drawn with clearly different weights."""
+    rng = random.Random(11)
+    bands, regions = list(BAND_MIDPOINTS), [*METROPOLITAN, "DROM"]
+    years = [y for u in range(RETURNING) for y in (2022, 2023, 2024)[: 3 if u < 69 else 2]]
+    users = [u for u in range(RETURNING) for _ in range(3 if u < 69 else 2)]
+    for year, size in ENROLMENTS.items():
+        fresh = size - years.count(year)
+        users += range(max(users) + 1, max(users) + 1 + fresh)
+        years += [year] * fresh
+    return [
+        (
+            f"h{user:05d}", "Data", f" {rng.choices(bands, [2 ** k for k in (3, 6, 8, 7, 5, 4, 2, 1, 0)])[0]} ",
+            rng.choice([" M", "M ", "F", "", None]), rng.choices(regions, [60, *range(13, 1, -1)])[0], year,
+        )
+        for user, year in zip(users, years, strict=True)
+    ]
+
+
+@pytest.fixture(scope="module")
+def models(spark, tmp_path_factory):
+    population = [
+        (region, sex, band, 1000 + 7 * i + 3 * j, year)
+        for i, region in enumerate(["Centre-Val-de-Loire" if r.startswith("Centre") else r
+                                    for r in [*METROPOLITAN, "Corse", *OVERSEAS]])
+        for sex in ("Hommes", "Femmes", "Ensemble") for j, band in enumerate(POPULATION_BANDS) for year in ENROLMENTS
+    ]
+    assert len(population) == 4560
+    return build.build(
+        spark.createDataFrame(enrolments(), STUDENTS_RAW), spark.createDataFrame(population, POPULATION_RAW),
+        str(tmp_path_factory.mktemp("published")))
+
+
+def test_all_checks_pass(models):
+    assert build.check_summary(models).where("passed").count() == 40
+
+
+def test_users_and_headcounts(models):
+    found = reports.reports(models)
+    assert rows(found["returning_users"]) == [(4647, DISTINCT, RETURNING)]
+    assert {r.year_started: r.nb_students for r in found["headcounts"].collect()} == ENROLMENTS
+    assert [r.year_started for r in found["headcounts"].collect()] == sorted(ENROLMENTS)
+
+
+def test_row_counts(models):
+    assert models["stg_students"].count() == 4647
+    assert models["stg_population"].count() == 1512
+    assert models["comparison_mart"].count() == 24
+    assert models["annual_synthesis"].count() == 4
+    assert models["block_export"].count() == 66
+
+
+def test_blocks_reconcile(models):
+    lines = marts.block_counts(models["block_export"]).selectExpr("source_table AS metric", "nb_lignes AS value")
+    assert checks.reconcile(lines, BLOCK_LINES).where("NOT matches").isEmpty()
+
+
+def test_settings_defaults_are_the_published_ones():
+    settings = Settings()
+    assert settings.years == tuple(ENROLMENTS) and settings.benchmark_year == 2023 and settings.top_bands == 5
