@@ -134,12 +134,11 @@ def _ordered(mart: DataFrame, name: str) -> DataFrame:
     return mart.repartition(1).sortWithinPartitions(*order[name])
 
 
-def with_marts(base: Models, settings: Settings = Settings(), out: str | None = None) -> Models:
-    """Add the marts, written as ordered tables under `out` (or the shared folder)."""
+def with_marts(base: Models, settings: Settings = Settings()) -> Models:
+    """Add the marts as ordered tables in the shared folder."""
 
     def write(df: DataFrame, name: str) -> DataFrame:
-        mart = _ordered(df, name)
-        return write_table(mart, f"{out}/{name}") if out else land(mart, name)
+        return land(_ordered(df, name), name)
 
     comparison = write(comparison_mart(base, settings), "comparison_mart")
     tables = land_all({
@@ -150,6 +149,15 @@ def with_marts(base: Models, settings: Settings = Settings(), out: str | None =
     return Models({**base.frames, **tables}, {**base.checked, **tables})
 
 
+def publish(models: Models, out: str) -> Models:
+    """Replace the mart tables under `out`."""
+    published = land_all(
+        {name: _ordered(models[name], name) for name in MARTS},
+        lambda mart, name: write_table(mart, f"{out}/{name}"),
+    )
+    return Models({**models.frames, **published}, {**models.checked, **published})
+
+
 def check_summary(models: Models, settings: Settings = Settings()) -> DataFrame:
     """One line per declared check of the given models."""
     return checks.summarise(models.checked, checks.declared_checks(settings))
@@ -158,15 +166,14 @@ def check_summary(models: Models, settings: Settings = Settings()) -> DataFrame:
 def build(
     students_raw: DataFrame, population_raw: DataFrame, out: str, settings: Settings = Settings()
 ) -> Models:
-    """Build and write the marts under `out`. Failing checks of raw, staging and intermediate
-    models stop the run before any mart is written; failing mart checks stop it after."""
+    """Build, check and publish. Failing checks of raw, staging and intermediate models stop the
+    run before the marts are made, failing mart checks before they replace those under `out`."""
     base = base_models(students_raw, population_raw, settings)
     checks.gate(check_summary(base, settings))
-    models = with_marts(base, settings, out)
-    checks.gate(checks.summarise(
-        {name: models[name] for name in MARTS}, checks.declared_checks(settings)
-    ))
-    return models
+    models = with_marts(base, settings)
+    made = {name: models[name] for name in MARTS}
+    checks.gate(checks.summarise(made, checks.declared_checks(settings)))
+    return publish(models, out)
 
 
 def export(models: Models, out: str, rows: bool = False) -> None:

@@ -45,13 +45,13 @@ def _at(labels, index: str) -> str:
 
 
 @cache
-def _schema(path: str) -> StructType:
-    return SparkSession.active().read.parquet(path).schema
+def _schema(spark: SparkSession, path: str) -> StructType:
+    return spark.read.parquet(path).schema
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     path = f"{sf_dir}/{name}.parquet"
-    return spark.read.schema(_schema(path)).parquet(path)
+    return spark.read.schema(_schema(spark, path)).parquet(path)
 
 
 _IDENTIFIED = "ck % 211 != 7"

@@ -2,6 +2,7 @@ from decimal import Decimal as D
 
 import pytest
 from helpers import rows
+from pyspark.sql import functions as F
 
 from cohortscope.operators import checks, indicators
 from cohortscope.plans import build, reports
@@ -152,3 +153,18 @@ def test_settings_change_what_is_accepted(raw_students, raw_population, tmp_path
     extra = ("w", "Data", "20-24 ans", "M", "DROM", 2031)
     models = build.build(raw_enrolments(raw_students, extra), raw_population, str(tmp_path / "out"), later)
     assert models["students_by_year"].count() == 5
+
+
+def test_marts_that_fail_replace_nothing(spark, raw_students, raw_population, tmp_path, monkeypatch):
+    out = str(tmp_path / "out")
+    good = rows(build.build(raw_enrolments(raw_students), raw_population, out)["block_export"])
+    declared = checks.declared_checks
+
+    def stricter(settings):
+        return [*declared(settings), checks.Check("block_export", "range", "slide", F.col("slide") > 13, None, "slide")]
+
+    monkeypatch.setattr(build.checks, "declared_checks", stricter)
+    changed = raw_enrolments(raw_students, ("w", "Data", "20-24 ans", "M", "DROM", 2022))
+    with pytest.raises(checks.GateFailure, match=r"range\(block_export\.slide\): 3, such as 14"):
+        build.build(changed, raw_population, out)
+    assert rows(spark.read.parquet(f"{out}/block_export")) == good
