@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortscope.functions import share
@@ -26,44 +26,57 @@ from cohortscope.settings import (
 )
 
 
-def enrolments_per_user(students: DataFrame, non_response: str = NON_RESPONSE) -> DataFrame:
-    """Rows of each user in each year, in all and by gender.
+def _with_rates(headcount: DataFrame) -> DataFrame:
+    """Add the non-response rate and the women's share among respondents."""
+    female, male = F.col("nb_female"), F.col("nb_male")
+    return headcount.select(
+        "year_started", COUNT, "nb_students_distincts", "nb_male", "nb_female", "nb_nr",
+        share(F.col("nb_nr"), F.col(COUNT)).alias("taux_non_reponse"),
+        share(female, male + female).alias("pct_female_among_declared"),
+    )
 
-    Tasks combine a user's rows before the shuffle, so neither a year nor a user can be hot.
-    """
+
+def students_by_year(students: DataFrame, non_response: str = NON_RESPONSE) -> DataFrame:
+    """Rows, distinct users and genders per year in one scan; tasks combine a user's rows before
+    the one shuffle by (year, user), so neither a year nor a user can be hot."""
     gender = F.col("gender")
-    return students.groupBy("year_started", "USER_ID").agg(
-        F.count(F.lit(1)).alias("nb_occurrences"),
-        F.count_if(gender == MALE).alias("male"),
-        F.count_if(gender == FEMALE).alias("female"),
-        F.count_if(gender == non_response).alias("silent"),
+    return _with_rates(students.groupBy("year_started").agg(
+        F.count(F.lit(1)).alias(COUNT),
+        F.count_distinct("USER_ID").alias("nb_students_distincts"),
+        F.count_if(gender == MALE).alias("nb_male"),
+        F.count_if(gender == FEMALE).alias("nb_female"),
+        F.count_if(gender == non_response).alias("nb_nr"),
+    ))
+
+
+def users_by_year(students: DataFrame) -> DataFrame:
+    """Distinct users of each year, and how many of them have several rows in it."""
+    return (
+        students.groupBy("year_started", "USER_ID").agg(F.count(F.lit(1)).alias("n"))
+        .groupBy("year_started")
+        .agg(
+            F.count("USER_ID").alias("nb_students_distincts"),
+            F.count_if(F.col("n") > 1).alias("nb_repeated_keys"),
+        )
     )
 
 
-def yearly_headcount(per_user: DataFrame) -> DataFrame:
-    """Rows, distinct users and genders per year from `enrolments_per_user`, with the
-    non-response rate and the women's share among respondents. `nb_repeated_keys` counts users
-    with several rows in the year."""
-    totals = per_user.groupBy("year_started").agg(
-        F.sum("nb_occurrences").cast("bigint").alias("nb_students"),
-        F.count("USER_ID").alias("nb_students_distincts"),
-        F.sum("male").cast("bigint").alias("nb_male"),
-        F.sum("female").cast("bigint").alias("nb_female"),
-        F.sum("silent").cast("bigint").alias("nb_nr"),
-        F.count_if(F.col("nb_occurrences") > 1).alias("nb_repeated_keys"),
-    )
-    female, male = F.col("nb_female"), F.col("nb_male")
-    return totals.select(
-        "year_started", "nb_students", "nb_students_distincts", "nb_male", "nb_female", "nb_nr",
-        share(F.col("nb_nr"), F.col("nb_students")).alias("taux_non_reponse"),
-        share(female, male + female).alias("pct_female_among_declared"),
-        "nb_repeated_keys",
-    )
+def headcount_of_cells(cells: DataFrame, users: DataFrame, non_response: str = NON_RESPONSE) -> DataFrame:
+    """The yearly headcount from counted cells and `users_by_year`, where both are at hand: the
+    shuffle of the users then carries no gender counts."""
 
+    def of(gender: str) -> Column:
+        counted = F.when(F.col("gender") == gender, F.col(COUNT)).otherwise(0)
+        return F.sum(counted).cast("bigint")
 
-def students_by_year(students: DataFrame, non_response: str = NON_RESPONSE) -> DataFrame:
-    """The yearly headcount of cleaned enrolments: one scan, one shuffle of (year, user)."""
-    return yearly_headcount(enrolments_per_user(students, non_response)).drop("nb_repeated_keys")
+    by_gender = cells.groupBy("year_started").agg(
+        F.sum(COUNT).cast("bigint").alias(COUNT),
+        of(MALE).alias("nb_male"),
+        of(FEMALE).alias("nb_female"),
+        of(non_response).alias("nb_nr"),
+    )
+    same_year = F.col("year_started").eqNullSafe(F.col("year"))
+    return _with_rates(by_gender.join(users.withColumnRenamed("year_started", "year"), same_year))
 
 
 def category_evolution(

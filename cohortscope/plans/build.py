@@ -41,23 +41,21 @@ class Models:
 
 
 def _student_inputs(students_raw: DataFrame, settings: Settings) -> dict[str, DataFrame]:
-    students = clean_enrolments(students_raw, settings.non_response)
-    per_user = indicators.enrolments_per_user(students, settings.non_response)
     return {
         "cells": enrolment_cells(students_raw, settings.non_response),
-        "headcount": indicators.yearly_headcount(per_user),
+        "users": indicators.users_by_year(clean_enrolments(students_raw, settings.non_response)),
     }
 
 
 def _student_models(
     students_raw: DataFrame, landed: Mapping[str, DataFrame], settings: Settings
 ) -> Models:
-    all_cells, headcount = landed["cells"], landed["headcount"]
+    all_cells, users = landed["cells"], landed["users"]
     cells = identified_cells(all_cells)
     ages = indicators.age_distribution(cells, settings.band_midpoints)
     regions = indicators.region_distribution(cells, settings.focus_region)
     intermediate = {
-        "students_by_year": headcount.drop("nb_repeated_keys"),
+        "students_by_year": indicators.headcount_of_cells(cells, users, settings.non_response),
         "gender_evolution": indicators.category_evolution(cells, non_response=settings.non_response),
         "age_distribution": ages,
         "region_distribution": regions,
@@ -75,7 +73,7 @@ def _student_models(
         "stg_students": all_cells.where("identified").select(
             present, "gender", "year_started", "age_group", "region", "nb_students"
         ),
-        "repeated_keys": headcount,
+        "repeated_keys": users,
         "age_share_sums": checks.share_sums(ages),
         "region_share_sums": checks.share_sums(regions),
         **intermediate,

@@ -48,10 +48,18 @@ def test_students_by_year(sample):
 
 
 def test_distinct_users_and_repeated_keys(students):
-    df = students(*enrol(3, 0), *enrol(1, 0), *enrol(2, 0, gender="F"), *enrol(2, 0, year=2023))
-    headcount = indicators.yearly_headcount(indicators.enrolments_per_user(df))
-    assert rows(headcount, "year_started", "nb_students", "nb_students_distincts", "nb_repeated_keys") == [
-        (2022, 6, 3, 2), (2023, 2, 2, 0)]
+    df = students(*enrol(3, 0), *enrol(1, 0), *enrol(2, 0, gender="F"), *enrol(2, 0, year=2023), *enrol(1, 7, year=None))
+    assert rows(indicators.users_by_year(df)) == [(None, 1, 0), (2022, 3, 2), (2023, 2, 0)]
+    assert rows(indicators.students_by_year(df), "year_started", "nb_students", "nb_students_distincts") == [
+        (None, 1, 1), (2022, 6, 3), (2023, 2, 2)]
+
+
+def test_headcount_of_cells_equals_headcount_of_rows(sample, students):
+    for df in (sample, students(*enrol(3, 0), *enrol(2, 5, gender="m"), *enrol(1, 9, gender=None, year=None))):
+        cells = counts.count_by(df, *counts.CELL_KEYS)
+        headcount = indicators.headcount_of_cells(cells, indicators.users_by_year(df))
+        assert headcount.columns == indicators.students_by_year(df).columns
+        assert rows(headcount) == rows(indicators.students_by_year(df))
 
 
 def test_year_without_respondents_has_null_share(students):
@@ -149,9 +157,10 @@ def test_distinct_values(students):
         ("year_started", "2022", 2), ("year_started", "2023", 1)]
 
 
-def test_one_user_with_a_third_of_all_rows_is_combined_before_the_shuffle(spark, students):
+def test_one_user_with_a_third_of_all_rows_is_combined_before_the_shuffle(students):
     df = students(*(enrol(1, 0) * 500), *enrol(1000, 1)).repartition(4)
-    per_user = indicators.enrolments_per_user(df)
-    assert values(per_user.where("nb_occurrences > 1"), "USER_ID", "nb_occurrences") == {"u0": 500}
-    text = per_user._jdf.queryExecution().executedPlan().toString()
-    assert text.index("partial_count") > text.index("Exchange hashpartitioning(year_started")
+    users = indicators.users_by_year(df)
+    assert rows(users) == [(2022, 1001, 1)]
+    lines = users._jdf.queryExecution().executedPlan().toString().splitlines()
+    shuffle = next(i for i, line in enumerate(lines) if "Exchange hashpartitioning" in line and "USER_ID" in line)
+    assert "partial_count(1)" in lines[shuffle + 1]
