@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from collections.abc import Callable, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from functools import cache
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -14,14 +15,19 @@ from cohortscope.sources.files import write_table
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 
+@cache
+def _local_dir() -> str:
+    return tempfile.mkdtemp(prefix="cohortscope-")
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The session's `spark.checkpoint.dir`; in local mode a new temporary folder when unset."""
+    """The session's `spark.checkpoint.dir`; in local mode a temporary folder when unset."""
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor can reach")
-    return tempfile.mkdtemp(prefix="cohortscope-")
+    return _local_dir()
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

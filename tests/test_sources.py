@@ -1,4 +1,5 @@
 from pathlib import Path
+from types import SimpleNamespace
 
 import pytest
 from helpers import rows
@@ -60,6 +61,19 @@ def test_shared_dir_follows_the_session(spark):
     assert shared.shared_dir(spark) == spark.conf.get("spark.checkpoint.dir")
 
 
+def session_with(**settings):
+    names = {name.replace("_", "."): value for name, value in settings.items()}
+    return SimpleNamespace(conf=SimpleNamespace(get=lambda name, default=None: names.get(name, default)))
+
+
+def test_a_cluster_without_shared_folder_is_refused():
+    with pytest.raises(ValueError, match=r"spark\.checkpoint\.dir"):
+        shared.shared_dir(session_with(spark_master="yarn"))
+    assert shared.shared_dir(session_with(spark_master="yarn", spark_checkpoint_dir="hdfs:/x/")) == "hdfs:/x"
+    local = session_with(spark_master="local[2]")
+    assert Path(shared.shared_dir(local)).is_dir() and shared.shared_dir(local) == shared.shared_dir(local)
+
+
 def test_landed_table_needs_its_lineage_no_more(spark, students):
     source = students(("u1", "20-24 ans", "F", "DROM", 2022), ("u2", "20-24 ans", "M", "DROM", 2022))
     landed = shared.land(source, "students")
