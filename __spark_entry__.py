@@ -22,6 +22,15 @@ from cohortscope.settings import BLOCKS, BOTH_SEXES, FEMALE, SEX_LABELS  # noqa:
 from cohortscope.sources import derived, files  # noqa: E402
 from cohortscope.sources.shared import land, land_all, scratch_path  # noqa: E402
 
+try:  # the training-data operators are a part that can be left out
+    import corpus_pipeline
+    from cohortscope.llm import oracles as llm_oracles
+    from cohortscope.llm import queries as llm_queries
+except ModuleNotFoundError as missing:
+    if not (missing.name or "").startswith(("corpus_pipeline", "cohortscope.llm")):
+        raise
+    llm_queries = None
+
 SETTINGS = derived.SETTINGS
 SHEET_YEARS = oracles.SHEET_YEARS
 _BENCHMARK = SETTINGS.benchmark_year
@@ -330,9 +339,19 @@ def entry(spark: SparkSession) -> DataFrame:
     return queries()["annual_synthesis"](spark, "/root/testdata/sf0.001")
 
 
-def queries() -> dict[str, Query]:
+def own_queries() -> dict[str, Query]:
+    """The queries of the enrolment profiles; `queries` adds those of the training-data operators."""
     return {name: _registered(query) for name, query in _QUERIES.items()}
 
 
+def queries() -> dict[str, Query]:
+    if llm_queries is None:
+        return own_queries()
+    return own_queries() | llm_queries.QUERIES | {"pipeline": corpus_pipeline.run}
+
+
 def oracle_sql() -> dict[str, str]:
-    return oracles.oracle_sql()
+    if llm_queries is None:
+        return oracles.oracle_sql()
+    pipeline = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return oracles.oracle_sql() | llm_oracles.oracle_sql() | pipeline

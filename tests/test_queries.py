@@ -13,7 +13,7 @@ from cohortscope.operators import compare
 from cohortscope.operators.counts import count_by, enrolment_cells
 from cohortscope.sources import derived
 
-QUERIES, ORACLES = registry.queries(), registry.oracle_sql()
+QUERIES, ORACLES = registry.own_queries(), registry.oracles.oracle_sql()
 TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR", "boolean": "BOOLEAN"}
 
 
