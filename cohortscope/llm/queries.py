@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, sharding
+from cohortscope.llm import bpe, sharding, toxicity
 
 SHARDS = 40
 
@@ -27,7 +27,17 @@ def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    scores = toxicity.score(docs, toxicity.train(docs, _table(spark, sf, "labels")))
+    return scores.select(
+        "doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op9_sharding": op9_sharding,
+    "op10_toxicity": op10_toxicity,
 }
