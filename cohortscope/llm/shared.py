@@ -2,12 +2,19 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from cohortscope.sources.shared import land
 
-__all__ = ["land", "numbered", "partitions"]
+__all__ = ["land", "let", "numbered", "partitions"]
+
+
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """`use(value)` with the value computed once, however often `use` names it, also inside lambdas."""
+    return F.transform(F.array(value), use)[0]
 
 
 def partitions(df: DataFrame) -> int:
