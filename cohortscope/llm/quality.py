@@ -35,9 +35,9 @@ WINDOW = 5
 MIN_WORDS = 10
 MAX_REPEATED_PERCENT = 20
 #: Shorter texts are not compared with their language: their histograms say little.
-MIN_COMPARED_WORDS = 50
+MIN_COMPARED_WORDS = 100
 MAX_CLASS_DISTANCE = 0.25
-MAX_WORD_DISTANCE = 0.45
+MAX_WORD_DISTANCE = 0.23
 
 
 def words_of(text: Column) -> Column:
@@ -149,7 +149,7 @@ def distance(p: Column, q: Column) -> Column:
 def verdicts(docs: DataFrame) -> DataFrame:
     """One row a document: base counts, distances to its language, base_failed and kept.
 
-    Texts under 50 words keep the base verdict. A null language is one of its own; languages without a list of
+    Texts under 100 words keep the base verdict. A null language is one of its own; languages without a list of
     common words are compared by character classes only. Repeated rows count each.
     """
     counted = land(counts(docs), "quality_counts")
