@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, quality, sharding, toxicity
+from cohortscope.llm import bpe, decontamination, quality, sharding, toxicity
 
 SHARDS = 40
 
@@ -20,6 +20,10 @@ def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(_table(spark, sf, "documents"))
 
 
+def op5_decontamination(spark: SparkSession, sf: str) -> DataFrame:
+    return decontamination.contaminated(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
 def op6_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf, "documents"))
 
@@ -42,6 +46,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
+    "op5_decontamination": op5_decontamination,
     "op6_divergence": op6_divergence,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
