@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, decontamination, quality, sharding, toxicity
+from cohortscope.llm import bpe, decontamination, minhash, quality, sharding, toxicity
 
 SHARDS = 40
 
@@ -16,6 +16,10 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
+    return minhash.near_duplicates(_table(spark, sf, "documents"), size=4, percent=80)
+
+
 def op4_byte_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(_table(spark, sf, "documents"))
 
@@ -45,6 +49,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_minhash": op3_minhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_divergence": op6_divergence,

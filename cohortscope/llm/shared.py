@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.sources.shared import land
 
-__all__ = ["land", "let", "numbered", "partitions"]
+__all__ = ["broadcast_if_small", "components", "land", "let", "numbered", "partitions"]
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -42,3 +42,41 @@ def numbered(df: DataFrame, order: list[str], sums: dict[str, Column], name: str
     return running.join(F.broadcast(offsets), "_range").select(
         *df.columns, *[(F.col(f"_w_{n}") + F.col(f"_o_{n}")).cast("bigint").alias(n) for n in sums]
     )
+
+
+#: Rows up to which a landed table of a few numbers a row is broadcast.
+MAX_BROADCAST_ROWS = 1_000_000
+
+
+def broadcast_if_small(landed: DataFrame) -> DataFrame:
+    """Hint a broadcast for a landed table of at most a million narrow rows; larger ones are joined by a shuffle."""
+    return F.broadcast(landed) if landed.count() <= MAX_BROADCAST_ROWS else landed
+
+
+def components(edges: DataFrame, name: str) -> DataFrame:
+    """The nodes of `edges` (a, b) and the smallest node they reach, as columns node and root.
+
+    Each round hooks every node to its smallest neighbour, follows the hooks four steps, and keeps the edges
+    between different ends. Tables are landed, so neither the plan nor the driver grows, and joins on a node with
+    many edges can be split.
+    """
+    links = land(_between(edges.select("a", "b")), f"{name}_edges")
+    nodes = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    roots = land(nodes.withColumn("root", F.col("node")), f"{name}_roots")
+    while not links.isEmpty():
+        both = links.union(links.select("b", "a"))
+        smallest = both.groupBy("a").agg(F.min("b").alias("b"))
+        hooks = land(smallest.select(F.col("a").alias("x"), F.least("a", "b").alias("y")), f"{name}_hooks")
+        for _ in range(2):
+            further = hooks.select(F.col("x").alias("y"), F.col("y").alias("z"))
+            hooks = land(hooks.join(further, "y").select("x", F.col("z").alias("y")), f"{name}_hooks")
+        left = links.join(hooks.withColumnRenamed("x", "a"), "a").select(F.col("y").alias("a"), "b")
+        moved = left.join(hooks.withColumnRenamed("x", "b"), "b").select("a", F.col("y").alias("b"))
+        links = land(_between(moved), f"{name}_edges")
+        roots = land(roots.join(hooks.withColumnRenamed("x", "root"), "root", "left").select(
+            "node", F.coalesce("y", "root").alias("root")), f"{name}_roots")
+    return roots
+
+
+def _between(edges: DataFrame) -> DataFrame:
+    return edges.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).where("a < b").distinct()
