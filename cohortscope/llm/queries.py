@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, decontamination, minhash, quality, sharding, toxicity
+from cohortscope.llm import bpe, decontamination, minhash, quality, sharding, suffixes, toxicity
 
 SHARDS = 40
 
@@ -32,6 +32,11 @@ def op6_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf, "documents"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
+    return suffixes.remove_repeats(_table(spark, sf, "documents")).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op9_sharding(spark: SparkSession, sf: str) -> DataFrame:
     return sharding.shard(_table(spark, sf, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
@@ -53,6 +58,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_divergence": op6_divergence,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
 }
