@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, decontamination, minhash, quality, sharding, suffixes, toxicity
+from cohortscope.llm import bpe, decontamination, minhash, pii, quality, sharding, suffixes, toxicity
 
 SHARDS = 40
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
+    docs = _table(spark, sf, "documents")
+    return pii.replace(docs.select("doc_id", "text"))
+
+
 def op3_minhash(spark: SparkSession, sf: str) -> DataFrame:
     return minhash.near_duplicates(_table(spark, sf, "documents"), size=4, percent=80)
 
@@ -54,6 +59,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op2_pii": op2_pii,
     "op3_minhash": op3_minhash,
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
