@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, decontamination, minhash, pii, quality, sharding, suffixes, toxicity
+from cohortscope.llm import bpe, decontamination, minhash, pii, quality, sharding, suffixes, toxicity, wordpiece
 
 SHARDS = 40
 
@@ -37,6 +37,10 @@ def op6_divergence(spark: SparkSession, sf: str) -> DataFrame:
     return quality.verdicts(_table(spark, sf, "documents"))
 
 
+def op7_wordpiece_counts(spark: SparkSession, sf: str) -> DataFrame:
+    return wordpiece.token_counts(_table(spark, sf, "documents"))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf: str) -> DataFrame:
     return suffixes.remove_repeats(_table(spark, sf, "documents")).select(
         "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_byte_bpe": op4_byte_bpe,
     "op5_decontamination": op5_decontamination,
     "op6_divergence": op6_divergence,
+    "op7_wordpiece_counts": op7_wordpiece_counts,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
