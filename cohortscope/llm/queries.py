@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, decontamination, minhash, pii, quality, sharding, suffixes, toxicity, wordpiece
+from cohortscope.llm import bpe, decontamination, minhash, pii, quality, quotations, sharding, suffixes, toxicity, wordpiece
 
 SHARDS = 40
 
@@ -16,6 +16,11 @@ def _table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def op1_quotations(spark: SparkSession, sf: str) -> DataFrame:
+    """The chats hold no quotes, so they are first written as mails that quote what they answer."""
+    return quotations.conversations(quotations.quoting(_table(spark, sf, "conversations")))
+
+
 def op2_pii(spark: SparkSession, sf: str) -> DataFrame:
     docs = _table(spark, sf, "documents")
     return pii.replace(docs.select("doc_id", "text"))
@@ -63,6 +68,7 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quotations": op1_quotations,
     "op2_pii": op2_pii,
     "op3_minhash": op3_minhash,
     "op4_byte_bpe": op4_byte_bpe,
