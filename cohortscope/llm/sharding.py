@@ -1,35 +1,40 @@
 """Minimax contiguous partition: ordered groups are cut into shards so that the largest shard is smallest.
 
 The capacity is found by binary search; a capacity is feasible if greedy filling needs no more shards than
-there are. The search runs over a summary of the groups' ends, whose size is fixed: for each cut a window of
-positions that must hold it, divided into cells, with the last group end in each cell. A cell with several ends
-leaves the cut uncertain, so each search gives a lower and an upper capacity, and the next summary covers the
-smaller windows between them, until every cell holds a single end and the search is exact.
+there are. The search runs over a summary of the groups, whose size is fixed: for each cut a window of group
+numbers that must hold it, divided into cells, with the end of the last group in each cell. A cell with several
+groups leaves the cut uncertain, so each search gives a lower and an upper capacity, and the next summary covers
+the smaller windows between them, until every cell holds a single group and the search is exact.
 """
 
 from __future__ import annotations
 
 from bisect import bisect_right
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from cohortscope.llm.shared import land, numbered
 
-#: Cells of a window: the summary has at most this many numbers for each cut.
+#: Cells of a window: the summary has at most this many pairs of numbers for each cut.
 CELLS = 4096
 ROW_BYTES = 16
 
+Window = tuple[int, int]
+Known = dict[Window, list[tuple[int, int]]]
+
 
 @dataclass(frozen=True)
 class Search:
-    """Bounds of the capacity, and for each cut the positions between which it must lie."""
+    """Bounds of the capacity, for each cut the first and last group that it may follow, and the cuts themselves
+    once all windows fit into cells of one group."""
 
     low: int
     high: int
-    windows: tuple[tuple[int, int], ...]
-    exact: bool = False
+    windows: tuple[Window, ...]
+    cells: int = CELLS
+    cuts: tuple[int, ...] = ()
 
 
 def sizes(docs: DataFrame) -> DataFrame:
@@ -46,95 +51,82 @@ def sizes(docs: DataFrame) -> DataFrame:
     )
 
 
-def _first_search(ends: DataFrame, shards: int) -> Search | None:
-    row = ends.agg(F.max("end").alias("total"), F.max("group_size").alias("largest")).first()
-    if row["total"] is None:
-        return None
-    total, largest = row["total"], row["largest"]
-    low = max(-(-total // shards), largest)
-    high = low + largest
-    windows = tuple((max(0, j * (low - largest)), min(total, j * high)) for j in range(1, shards + 1))
-    return Search(low, high, windows)
+def _width(window: Window, cells: int) -> int:
+    return -(-(window[1] - window[0] + 1) // cells)
 
 
-def _summary(ends: DataFrame, search: Search) -> tuple[list[list[int]], bool]:
-    """For each cut the last end in each cell of its window, ascending, and whether no cell has two.
+def _summary(ends: DataFrame, search: Search) -> Known:
+    """For each window the number and end of the last group in each cell, ascending.
 
-    At most CELLS numbers a cut come to the driver, whatever the number of groups.
+    At most CELLS pairs a window come to the driver, whatever the number of groups.
     """
-    cells = ends.select("end", F.explode(F.array(*[
-        F.when(F.col("end").between(a, b), F.struct(
-            F.lit(j).alias("cut"), F.floor((F.col("end") - a) / _width(a, b)).alias("cell")
-        ))
-        for j, (a, b) in enumerate(search.windows)
+    number = F.col("number")
+    cells = ends.select("number", "end", F.explode(F.array(*[
+        F.when(number.between(*window), F.struct(
+            F.lit(i).alias("window"), F.floor((number - window[0]) / _width(window, search.cells)).alias("cell")))
+        for i, window in enumerate(dict.fromkeys(search.windows))
     ])).alias("at")).where("at IS NOT NULL")
-    by_cell = cells.groupBy("at").agg(F.max("end").alias("end"), F.count("*").alias("n"))
-    by_cut = by_cell.groupBy(F.col("at.cut").alias("cut")).agg(
-        F.sort_array(F.collect_list("end")).alias("ends"), F.max("n").alias("n")
-    )
-    rows = by_cut.collect()
-    known: list[list[int]] = [[] for _ in search.windows]
-    for row in rows:
-        known[row["cut"]] = row["ends"]
-    return known, all(row["n"] == 1 for row in rows)
-
+    last = cells.groupBy("at").agg(F.max(F.struct("number", "end")).alias("last"))
+    by_window = last.groupBy(F.col("at.window").alias("window")).agg(F.sort_array(F.collect_list("last")).alias("last"))
+    rows = {row["window"]: [tuple(x) for x in row["last"]] for row in by_window.collect()}
+    return {window: rows[i] for i, window in enumerate(dict.fromkeys(search.windows))}
 
-def _width(first: int, last: int) -> int:
-    return -(-(last - first + 1) // CELLS)
 
-
-def _cuts(capacity: int, known: list[list[int]], search: Search, optimistic: bool) -> list[int]:
-    """Greedy cuts for a capacity: each shard ends at the last known group end that it has room for.
+def _cuts(capacity: int, known: Known, search: Search, optimistic: bool) -> list[tuple[int, int]]:
+    """Greedy cuts for a capacity, as (group, bytes): each shard ends at the last group end it has room for.
 
     Pessimistic cuts are group ends that are known, so they are feasible. Optimistic cuts take all the room
     where a cell may hide an end, so no true greedy cut lies beyond them.
     """
     cuts, cut = [], 0
-    for ends, (first, last) in zip(known, search.windows, strict=True):
-        room, width = cut + capacity, _width(first, last)
-        at = bisect_right(ends, room)
-        if at and ends[at - 1] > cut:
-            cut = ends[at - 1]
-        after = ends[at] if at < len(ends) else None
-        hidden = after is not None and (after - first) // width == (room - first) // width
-        if optimistic and (hidden or not first <= room <= last):
-            cut = min(room, search.windows[-1][1])
-        cuts.append(cut)
+    for window in search.windows:
+        last, room = known[window], cut + capacity
+        at = bisect_right(last, room, key=lambda pair: pair[1])
+        group, end = last[at - 1] if at else (window[0], cut)
+        nearest = last[at - 1][0] if at else window[0] - 1
+        if optimistic and at < len(last) and last[at][0] - nearest > 1:
+            group, end = last[at][0] - 1, room
+        cut = max(cut, end)
+        cuts.append((group, cut))
     return cuts
 
 
-def _smallest(known: list[list[int]], search: Search, optimistic: bool) -> int:
+def _smallest(known: Known, search: Search, total: int, optimistic: bool) -> int:
     """The smallest capacity between the bounds for which the cuts reach the end; the upper bound if none does."""
-    low, high, total = search.low, search.high, search.windows[-1][1]
+    low, high = search.low, search.high
     while low < high:
         middle = (low + high) // 2
-        if _cuts(middle, known, search, optimistic)[-1] >= total:
+        if _cuts(middle, known, search, optimistic)[-1][1] >= total:
             high = middle
         else:
             low = middle + 1
     return high
 
 
-def _narrow(ends: DataFrame, search: Search) -> Search:
-    known, exact = _summary(ends, search)
-    low, high = _smallest(known, search, True), _smallest(known, search, False)
+def _narrow(ends: DataFrame, search: Search, total: int) -> Search:
+    known = _summary(ends, search)
+    low, high = (_smallest(known, search, total, optimistic) for optimistic in (True, False))
+    if all(_width(window, search.cells) == 1 for window in search.windows):
+        return replace(search, low=high, high=high, cuts=tuple(cut for _, cut in _cuts(high, known, search, False)))
     earliest, latest = _cuts(low, known, search, False), _cuts(high, known, search, True)
-    if exact:
-        return Search(high, high, tuple((c, c) for c in _cuts(high, known, search, False)), True)
-    windows = tuple((min(a, b), b) for a, b in zip(earliest, latest, strict=True))
-    total = search.windows[-1][1]
-    return Search(low, high, (*windows[:-1], (windows[-1][0], total)))
+    windows = tuple((min(a, b), max(a, b)) for (a, _), (b, _) in zip(earliest, latest, strict=True))
+    found = Search(low, high, windows, search.cells)
+    return replace(found, cells=2 * search.cells) if found == search else found
 
 
 def greedy_cuts(ends: DataFrame, shards: int) -> list[int]:
     """The ends of the shards of the greedy filling at the smallest feasible capacity.
 
-    `ends` has one row a group: `end`, the bytes up to its end in the order of the groups, and `group_size`.
+    `ends` has one row a group: its `number` in order from 1, `end`, the bytes up to its end, and `group_size`.
     """
-    search = _first_search(ends, shards)
-    while search is not None and not search.exact:
-        search = _narrow(ends, search)
-    return [cut for cut, _ in search.windows] if search else []
+    row = ends.agg(F.max("end").alias("total"), F.max("group_size").alias("largest"), F.count("*").alias("n")).first()
+    if not row["n"]:
+        return []
+    low = max(-(-row["total"] // shards), row["largest"])
+    search = Search(low, low + row["largest"], ((1, row["n"]),) * shards)
+    while not search.cuts:
+        search = _narrow(ends, search, row["total"])
+    return list(search.cuts)
 
 
 def shard(docs: DataFrame, shards: int) -> DataFrame:
@@ -147,10 +139,8 @@ def shard(docs: DataFrame, shards: int) -> DataFrame:
         numbered(sizes(docs), ["group_key", "doc_id"], {"end": F.col("size"), "place": F.lit(1)}, "shard_order"),
         "shard_places",
     )
-    ends = land(
-        placed.groupBy("group_key").agg(F.max("end").alias("end"), F.sum("size").alias("group_size"))
-        .select("end", "group_size"), "shard_ends",
-    )
+    groups = placed.groupBy("group_key").agg(F.max("end").alias("end"), F.sum("size").alias("group_size"))
+    ends = land(numbered(groups.drop("group_key"), ["end"], {"number": F.lit(1)}, "shard_groups"), "shard_ends")
     cuts = greedy_cuts(ends, shards)
     inside = F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda cut: cut < F.col("end"))
     dealt = placed.withColumn("shard", F.size(inside))
