@@ -19,20 +19,23 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.llm.shared import broadcast_if_small, land
+from cohortscope.llm.shared import MAX_BROADCAST_ROWS, land
 from cohortscope.llm.text import Block, blocks, constants, mix, span_hashes
 
 LENGTH = 400
 GRAM = 128
-#: Different runs of one k-gram that a task sorts together; beyond it, their windows become rows.
-MAX_RUNS = 256
-#: Bytes of runs that a task sorts at once.
-SORTED_BYTES = 1 << 20
+#: Different runs of one k-gram that a task sorts together, 2.5 MB at most; beyond it, their windows become rows.
+MAX_RUNS = 3600
+#: Bytes of runs after which a task sorts what it has, once a k-gram's runs are complete.
+SORTED_BYTES = 1 << 19
 _SHAPE = constants(3, 23)
 
 
 def suffix_array(symbols: np.ndarray) -> np.ndarray:
-    """The starts of all suffixes in sorted order, by a difference cover modulo 3. Symbols are 1 to 2**21 - 2."""
+    """The starts of all suffixes in sorted order, by a difference cover modulo 3.
+
+    Symbols are from 1 to 2**21 - 1, and at most 3 * 2**20 of them, so that three names fit into 64 bits.
+    """
     n = len(symbols)
     if n < 4:
         return np.array(sorted(range(n), key=lambda i: symbols[i:].tolist()), dtype=np.int64)
@@ -145,7 +148,9 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
                      pa.array([data[r["start"] : r["start"] + r["windows"] + length - 1] for r in rows], pa.binary())],
                     ["anchor", "run", "windows", "data"])
 
-    joined = docs.select("doc_id", "text_key", "text").join(broadcast_if_small(by_text), ["doc_id", "text_key"])
+    runs = by_text.agg(F.sum(F.size("wanted")).alias("n")).first()["n"] or 0
+    side = F.broadcast(by_text) if runs <= MAX_BROADCAST_ROWS else by_text  # a few numbers a run
+    joined = docs.select("doc_id", "text_key", "text").join(side, ["doc_id", "text_key"])
     return joined.select("text", "wanted").mapInArrow(run, "anchor bigint, run bigint, windows int, data binary")
 
 
