@@ -7,8 +7,9 @@ so that is the match threshold. Posts that nobody else shares are dropped, the r
 class skips its MIN_MATCHES - 1 most common posts: two classes above the threshold still meet under a rarer one.
 
 Within a list the classes are first linked to one leader, so a list of near copies costs one pair a class. Pairs
-are then made only between classes that are not yet connected, until no such pair is left untested. Every link is
-confirmed on the full sets.
+are then made only between classes that are not yet connected, until no such pair is left untested. No pair is made
+of classes that, by what each shares with any other, cannot be similar enough. Every link is confirmed on the full
+sets.
 """
 
 from __future__ import annotations
@@ -118,20 +119,39 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _prefixes(posts: DataFrame) -> DataFrame:
-    """The posts that can lead to a pair: shared ones, without each class's most common MIN_MATCHES - 1."""
+    """The posts that can lead to a pair: shared ones, without each class's most common MIN_MATCHES - 1.
+
+    `central` is high for classes whose posts many others hold, as the original of a group of copies.
+    """
     shared = land(posts.groupBy("post").agg(F.count("*").alias("holders")).where("holders > 1"), "shared_posts")
-    rarest = Window.partitionBy("class_id").orderBy("holders", "post")
-    own = posts.join(shared, "post").select(
+    own = Window.partitionBy("class_id")  # at most COORDINATES rows
+    ranked = posts.join(shared, "post").select(
         "post", "class_id", "n_shingles",
-        F.row_number().over(rarest).alias("place"),
-        F.count("*").over(Window.partitionBy("class_id")).alias("own"),  # at most COORDINATES rows
+        F.row_number().over(own.orderBy("holders", "post")).alias("place"),
+        F.count("*").over(own).alias("own"), F.sum(F.log("holders")).over(own).alias("central"),
     )
-    return land(own.where(F.col("place") <= F.col("own") - MIN_MATCHES + 1).select("post", "class_id", "n_shingles"),
-                "prefix_posts")
+    return land(ranked.where(F.col("place") <= F.col("own") - MIN_MATCHES + 1).drop("place", "own"), "prefix_posts")
+
+
+def _shared_sizes(sets: DataFrame) -> DataFrame:
+    """For each class how many of its shingles no other class has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for class_id, packed in zip(batch.column("class_id").to_pylist(), batch.column("members"), strict=True):
+                members = np.frombuffer(packed.as_buffer(), np.int64)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(members), class_id)), pa.array(members)], ["class_id", "shingle"])
+
+    rows = sets.mapInArrow(run, "class_id bigint, shingle bigint")
+    held = rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("class_id").alias("class_id"))
+    return held.where("holders = 1").groupBy("class_id").agg(F.count("*").alias("n_private"))
 
 
-def _similar_sizes(a: str, b: str, percent: int):
-    return (100 * F.col(a) >= percent * F.col(b)) & (100 * F.col(b) >= percent * F.col(a))
+def _can_link(x: str, y: str, percent: int):
+    """Whether two classes can be similar enough if they have all the shingles in common that each shares with any."""
+    n = F.col(f"{x}.n_shingles") + F.col(f"{y}.n_shingles")
+    return (100 + percent) * F.least(F.col(f"{x}.n_shared"), F.col(f"{y}.n_shared")) >= percent * n
 
 
 def _matching(pairs: DataFrame, members: DataFrame) -> DataFrame:
@@ -141,15 +161,13 @@ def _matching(pairs: DataFrame, members: DataFrame) -> DataFrame:
     return both.where(F.size(F.array_intersect("posts_a", "posts_b")) >= MIN_MATCHES).select("a", "b")
 
 
-def _to_leaders(lists: DataFrame, percent: int, largest: bool) -> DataFrame:
-    """A pair of each class and one class of each list it is in: the smallest or largest id that is there."""
-    pick = F.max if largest else F.min
-    leaders = land(lists.groupBy("post").agg(pick(F.struct("class_id", "n_shingles")).alias("leader")), "leaders")
-    pairs = lists.join(leaders, "post").select(
-        F.col("leader.class_id").alias("a"), F.col("class_id").alias("b"),
-        F.col("leader.n_shingles").alias("n_a"), F.col("n_shingles").alias("n_b"))
-    return pairs.where(F.col("a") != F.col("b")).where(_similar_sizes("n_a", "n_b", percent)).select(
-        F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+def _to_leaders(lists: DataFrame, percent: int, by: str) -> DataFrame:
+    """A pair of each class and one class of each list it is in: the one that is highest in the column `by`."""
+    highest = F.max(F.struct(F.col(by).alias("rank"), "class_id", "n_shingles", "n_shared")).alias("leader")
+    leaders = land(lists.groupBy("post").agg(highest).select("post", "leader.class_id", "leader.n_shingles", "leader.n_shared"), "leaders")
+    pairs = lists.alias("x").join(leaders.alias("y"), "post").where(F.col("x.class_id") != F.col("y.class_id"))
+    return pairs.where(_can_link("x", "y", percent)).select(
+        F.least("x.class_id", "y.class_id").alias("a"), F.greatest("x.class_id", "y.class_id").alias("b")).distinct()
 
 
 def _across(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
@@ -158,17 +176,16 @@ def _across(lists: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
     Lists of one component are done. In the others, the classes outside the list's largest component are paired
     with all classes of other components.
     """
-    placed = land(lists.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").select(
-        "post", "class_id", "n_shingles", F.coalesce("root", "class_id").alias("root")), "placed_posts")
+    placed = land(lists.join(roots.withColumnRenamed("node", "class_id"), "class_id", "left").withColumn(
+        "root", F.coalesce("root", "class_id")), "placed_posts")
     sizes = placed.groupBy("post", "root").agg(F.count("*").alias("n"))
     open_lists = land(sizes.groupBy("post").agg(
         F.max(F.struct("n", "root")).alias("main"), F.count("*").alias("parts")
     ).where("parts > 1").select("post", F.col("main.root").alias("main")), "open_lists")
     there = land(placed.join(open_lists, "post"), "open_posts")
-    outside = there.where("root != main").select(
-        "post", F.col("class_id").alias("x"), F.col("root").alias("root_x"), F.col("n_shingles").alias("n_x"))
-    pairs = outside.join(there, "post").where("root != root_x").where(_similar_sizes("n_x", "n_shingles", percent))
-    return pairs.select(F.least("x", "class_id").alias("a"), F.greatest("x", "class_id").alias("b")).distinct()
+    pairs = there.where("root != main").alias("x").join(there.alias("y"), "post").where("x.root != y.root")
+    return pairs.where(_can_link("x", "y", percent)).select(
+        F.least("x.class_id", "y.class_id").alias("a"), F.greatest("x.class_id", "y.class_id").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:
@@ -190,9 +207,14 @@ def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFr
     texts = docs.select(F.col("doc_id").alias("class_id"), "text").join(ids, "class_id", "left_semi")
     sets = land(full_sets(texts, size).dropDuplicates(["class_id"]), "shingle_sets")
 
+    # A class with too many shingles of its own is linked with nothing.
+    n_shared = F.col("n_shingles") - F.coalesce("n_private", F.lit(0))
+    lists = land(prefixes.join(land(_shared_sizes(sets), "private_shingles"), "class_id", "left").withColumn(
+        "n_shared", n_shared).drop("n_private").where(100 * F.col("n_shared") >= percent * F.col("n_shingles")),
+        "lists")
     links, tested, roots = None, None, None
-    for pairs_of in (lambda: _to_leaders(prefixes, percent, False), lambda: _to_leaders(prefixes, percent, True),
-                     lambda: _across(prefixes, roots, percent)):
+    for pairs_of in (lambda: _to_leaders(lists, percent, "central"), lambda: _to_leaders(lists, percent, "class_id"),
+                     lambda: _across(lists, roots, percent)):
         pairs = pairs_of()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
