@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import sys
 from collections.abc import Callable
 from pathlib import Path
@@ -224,6 +225,13 @@ def band_group_rollup(spark: SparkSession, sf: str) -> DataFrame:
     return marts.headline_synthesis(land(_compare_all(spark, sf), "comparison_mart"), SETTINGS)
 
 
+# --- Reports --------------------------------------------------------------------------------
+
+
+def report_top_bands(spark: SparkSession, sf: str) -> DataFrame:
+    return reports.top_bands(indicators.distribution(_students(spark, sf), "age_group"), SETTINGS.top_bands)
+
+
 # --- Marts ----------------------------------------------------------------------------------
 
 
@@ -304,6 +312,12 @@ _QUERIES: dict[str, Query] = {
     "compare_gender": lambda spark, sf: compare.compare_share(
         _students(spark, sf), _population(spark, sf), _BENCHMARK),
     "compare_all": _compare_all,
+    "report_headcounts": lambda spark, sf: reports.headcounts(indicators.students_by_year(_students(spark, sf))),
+    "report_gender_shares": lambda spark, sf: reports.gender_shares(
+        indicators.category_evolution(_students(spark, sf))),
+    "report_age_comparison": lambda spark, sf: reports.age_comparison(_compare_all(spark, sf)),
+    "report_top_bands": report_top_bands,
+    "report_region_comparison": lambda spark, sf: reports.region_comparison(_compare_all(spark, sf)),
     "annual_synthesis": annual_synthesis,
     "band_group_rollup": band_group_rollup,
     "block_union": _block_export,
@@ -336,7 +350,7 @@ def _registered(query: Query) -> Query:
 
 def entry(spark: SparkSession) -> DataFrame:
     """Flagship: the annual synthesis."""
-    return queries()["annual_synthesis"](spark, "/root/testdata/sf0.001")
+    return queries()["annual_synthesis"](spark, os.environ.get("ENTRY_SF_DIR", "/root/testdata/sf0.001"))
 
 
 def own_queries() -> dict[str, Query]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 import argparse
 from collections.abc import Sequence
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 from cohortscope.operators.counts import distinct_values
 from cohortscope.operators.reshape import unpivot_population
@@ -13,6 +13,7 @@ from cohortscope.plans import build
 from cohortscope.plans.reports import reports
 from cohortscope.settings import Settings
 from cohortscope.sources import files
+from cohortscope.sources.shared import scratch_folder
 
 
 def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
@@ -39,10 +40,17 @@ def _arguments(argv: Sequence[str] | None) -> argparse.Namespace:
     return parser.parse_args(argv)
 
 
+def _print(df: DataFrame) -> None:
+    """Every line, however many: lines come to the driver one partition at a time."""
+    print(" | ".join(df.columns))
+    for row in df.toLocalIterator():
+        print(" | ".join("" if value is None else str(value) for value in row))
+
+
 def _reshape(spark: SparkSession, args: argparse.Namespace) -> None:
     files.write_csv(unpivot_population(files.read_population_wide(spark, args.sheets), args.years), args.out)
     written = files.read_population(spark, args.out)
-    distinct_values(written, ["REGION", "SEXE", "ANNEE"]).orderBy("attribute", "value").show(100, truncate=False)
+    _print(distinct_values(written, ["REGION", "SEXE", "ANNEE"]).orderBy("attribute", "value"))
 
 
 def _build(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -52,16 +60,18 @@ def _build(spark: SparkSession, args: argparse.Namespace) -> None:
         focus_region=args.focus_region,
         drop_regions=tuple(args.drop_region),
     )
-    # Text is parsed once; the models then scan columns of the tables.
-    students = files.write_table(files.read_students(spark, args.students), f"{args.out}/students_raw")
-    population = files.write_table(files.read_population(spark, args.population), f"{args.out}/population_raw")
-    models = build.build(students, population, args.out, settings)
-    if args.report:
-        for name, df in reports(models, settings).items():
-            print(f"\n{name}")
-            df.show(200, truncate=False)
-    if args.export or args.export_rows:
-        build.export(models, args.out, rows=args.export_rows)
+    # Text is parsed once; the models then scan columns of the tables. The rows are personal, so they stay in a
+    # scratch folder and go when the run ends, also when a check fails.
+    with scratch_folder(spark) as folder:
+        students = files.write_table(files.read_students(spark, args.students), f"{folder}/students_raw")
+        population = files.write_table(files.read_population(spark, args.population), f"{folder}/population_raw")
+        models = build.build(students, population, args.out, settings)
+        if args.report:
+            for name, df in reports(models, settings).items():
+                print(f"\n{name}")
+                _print(df)
+        if args.export or args.export_rows:
+            build.export(models, args.out, rows=args.export_rows)
 
 
 def main(argv: Sequence[str] | None = None) -> None:

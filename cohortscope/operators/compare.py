@@ -11,7 +11,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.functions import gap, ratio
+from cohortscope.functions import gap, ratio, share
 from cohortscope.operators.counts import COUNT, count_by, share_of_total
 from cohortscope.settings import BOTH_SEXES, FEMALE, MALE, WOMEN, Settings
 
@@ -113,14 +113,23 @@ def comparison(df: DataFrame, population: DataFrame, year: int) -> DataFrame:
 
 
 def compare_share(df: DataFrame, population: DataFrame, year: int) -> DataFrame:
-    """The women's line alone: share among respondents against share of the population."""
-    return (
-        comparison(df, population, year)
-        .where(F.col("dimension") == "genre")
-        .select(
-            F.col("pct_oc").alias("pct_f_oc"), F.col("pct_insee").alias("pct_f_insee"), "ecart_pts"
-        )
-    )
+    """The women's line alone: share among respondents against share of the population.
+
+    Each side is one aggregate over the columns it needs, and the two lines meet on a constant key.
+    """
+
+    def of(measure: str, condition: Column) -> Column:
+        return F.sum(F.when(condition, F.col(measure))).cast("bigint")
+
+    gender, sex = F.col("gender"), F.col("sexe")
+    observed = count_by(df, "gender").agg(
+        of(COUNT, gender == FEMALE).alias("part"), of(COUNT, gender.isin(MALE, FEMALE)).alias("whole")
+    ).select(F.lit(1).alias("line"), share(F.coalesce("part", F.lit(0)), F.col("whole")).alias("pct_f_oc"))
+    benchmark = _benchmark_rows(population, year).agg(
+        of("population", sex == FEMALE).alias("part"), of("population", sex == BOTH_SEXES).alias("whole")
+    ).select(F.lit(1).alias("line"), share(F.col("part"), F.col("whole")).alias("pct_f_insee"))
+    return observed.join(benchmark, "line").select(
+        "pct_f_oc", "pct_f_insee", gap(F.col("pct_f_oc"), F.col("pct_f_insee")).alias("ecart_pts"))
 
 
 def comparison_mart(df: DataFrame, population: DataFrame, settings: Settings = Settings()) -> DataFrame:

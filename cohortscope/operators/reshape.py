@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cohortscope.schemas import WIDE_COLUMNS
-from cohortscope.settings import NATIONAL_TOTALS, NOTE_PREFIXES, POPULATION_BANDS, SEX_BLOCKS
+from cohortscope.settings import COLUMN_TITLES, NATIONAL_TOTALS, NOTE_PREFIXES, POPULATION_BANDS, SEX_BLOCKS
 
 
 def select_years(wide: DataFrame, years: Sequence[int]) -> DataFrame:
@@ -17,14 +17,25 @@ def select_years(wide: DataFrame, years: Sequence[int]) -> DataFrame:
     return wide.where(F.col("year").isin(*years))
 
 
+def require_years(wide: DataFrame, years: Sequence[int]) -> DataFrame:
+    """The reporting years; a year without a sheet fails. Looks at the listed years only."""
+    chosen = select_years(wide, years)
+    missing = set(years) - {row["year"] for row in chosen.select("year").distinct().collect()}
+    if missing:
+        raise ValueError(f"no sheet for {', '.join(map(str, sorted(missing)))}")
+    return chosen
+
+
 def _text_cells(wide: DataFrame) -> set[str]:
     return {f.name for f in wide.schema if f.name in WIDE_COLUMNS and isinstance(f.dataType, StringType)}
 
 
 def filter_footnotes(wide: DataFrame) -> DataFrame:
-    """Keep region rows: no headings (texts but no number in the cells), blank regions, national
-    totals or notes. Select cells by their names afterwards: the heading filter refers to all of
-    them, and renaming many columns above such a filter makes Spark's planning very slow.
+    """Keep region rows: no headings, blank regions, national totals or notes.
+
+    A heading has no number in its cells, and no text but column titles. A row with other texts and no number
+    is kept, so that reading its cells as numbers fails. Select cells by their names afterwards: the heading
+    filter refers to all of them, and renaming many columns above it makes Spark's planning very slow.
     """
     region = F.col("region")
     note = F.lit(False)
@@ -35,7 +46,9 @@ def filter_footnotes(wide: DataFrame) -> DataFrame:
     if not text:
         return rows
     numbers = ", ".join(f"try_cast({c} AS DOUBLE)" for c in WIDE_COLUMNS)
-    return rows.where(f"coalesce({numbers}) IS NOT NULL")
+    titles = ", ".join(f"'{title}'" for title in (*POPULATION_BANDS, *SEX_BLOCKS, *COLUMN_TITLES))
+    other = " OR ".join(f"{c} NOT IN ({titles})" for c in WIDE_COLUMNS)
+    return rows.where(f"coalesce({numbers}) IS NOT NULL OR coalesce({other}, false)")
 
 
 def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
@@ -45,14 +58,14 @@ def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
     A narrow operation: every input row becomes at most 60 output rows, without a shuffle.
     """
     text = bool(_text_cells(wide))
-    number = "CAST(cell AS DECIMAL(38, 9))" if text else "cell"
+    number = "CAST(cell AS DOUBLE)" if text else "cell"
     cells = ", ".join(
         f"'{sex}', '{band}', " + (f"CAST(c{first + i} AS STRING)" if text else f"c{first + i}")
         for sex, first in SEX_BLOCKS.items()
         for i, band in enumerate(POPULATION_BANDS)
     )
     return (
-        filter_footnotes(select_years(wide, years))
+        filter_footnotes(require_years(wide, years))
         .selectExpr(
             "region",
             f"stack({len(SEX_BLOCKS) * len(POPULATION_BANDS)}, {cells}) AS (SEXE, AGE_GROUP, cell)",

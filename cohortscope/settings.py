@@ -19,6 +19,9 @@ POPULATION_BANDS = (
 SEX_BLOCKS = {"Ensemble": 1, "Hommes": 22, "Femmes": 43}
 WIDE_VALUE_COLUMNS = 63
 
+# Titles of columns besides the bands and sexes.
+COLUMN_TITLES = ("Total", "")
+
 NATIONAL_TOTALS = ("France métropolitaine", "France", "France métropolitaine et DOM")
 NOTE_PREFIXES = ("Source", "Champ", "Note")
 

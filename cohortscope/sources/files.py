@@ -21,11 +21,19 @@ _CSV = {
 }
 
 
-def read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
-    """A CSV with a header. Other columns than the schema's, or a bad value, fail the read."""
+#: Stands for an unquoted empty field while reading; no text equals it.
+_NO_TEXT = "\u0000"
+
+
+def read_csv(spark: SparkSession, path: str, schema: StructType, line_breaks: bool = False) -> DataFrame:
+    """A CSV with a header. Other columns than the schema's, or a bad value, fail the read.
+
+    An empty field is null and a quoted empty one an empty text. Files whose values hold line breaks are read
+    with `line_breaks`, one task a file; other files are split.
+    """
     return (
         spark.read.schema(schema)
-        .options(**_CSV, mode="FAILFAST", enforceSchema=False)
+        .options(**_CSV, mode="FAILFAST", enforceSchema=False, nullValue=_NO_TEXT, emptyValue="", multiLine=line_breaks)
         .csv(path)
     )
 
@@ -39,8 +47,12 @@ def read_population(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_population_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Yearly sheets saved as headerless CSV under `path/year=YYYY/`, 64 text columns each."""
-    return spark.read.schema(POPULATION_WIDE).options(**{**_CSV, "header": False}).csv(path)
+    """Yearly sheets saved as headerless CSV under `path/year=YYYY/`, 64 text columns each.
+
+    A row with more or fewer fields fails the read, whichever columns are used.
+    """
+    options = {**_CSV, "header": False, "mode": "FAILFAST", "columnPruning": False}
+    return spark.read.schema(POPULATION_WIDE).options(**options).csv(path)
 
 
 def write_sheets(wide: DataFrame, path: str) -> None:
@@ -82,4 +94,4 @@ def export_blocks(df: DataFrame, path: str) -> None:
         F.when(headcount, F.col("valeur").cast("bigint").cast("string"))
         .otherwise(F.col("valeur").cast("decimal(20,1)").cast("string")),
     )
-    write_csv(formatted.repartition(1).sortWithinPartitions("slide", "rang"), path)
+    write_csv(formatted.repartition(1).sortWithinPartitions("slide", "rang", "dimension", "detail"), path)

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Iterator, Mapping
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 from functools import cache
 from uuid import uuid4
 
@@ -25,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     folder = spark.conf.get(_CHECKPOINT_DIR, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    if not re.fullmatch(r"local(\[[^\]]*\])?", spark.conf.get("spark.master", "")):
         raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor can reach")
     return _local_dir()
 
@@ -34,6 +36,17 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/cohortscope/{name}-{uuid4().hex}"
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """A shared folder that is deleted with all in it at the end of the block."""
+    path = scratch_path(spark, "run")
+    try:
+        yield path
+    finally:
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def land(df: DataFrame, name: str) -> DataFrame:
     """Write `df` once and read it back: later uses scan the table instead of the lineage.
 

@@ -71,30 +71,39 @@ _BLOCK_NAMES = {
 
 
 def _blocks() -> str:
-    """Lines of the seven blocks: source rows, label columns, values in tenths, numbering."""
-    year, both = "year_started::VARCHAR", "oc10, insee10, gap10"
-    lines = (
-        (8, "headcount", year, "NULL", "nb_students * 10, NULL, NULL", "rank() OVER (ORDER BY year_started)"),
-        (9, "genders", year, "gender", "n * 10, pct10, NULL",
-         "rank() OVER (PARTITION BY year_started ORDER BY gender)"),
-        (10, "(FROM compared WHERE dimension = 'age')", "'global'", "detail", both, "rank() OVER (ORDER BY detail)"),
-        (11, "(FROM ages WHERE rang < 6)", year, "age_group", "pct10, NULL, NULL",
-         "rank() OVER (ORDER BY year_started, pct10 DESC, age_group)"),
-        (12, "(FROM compared WHERE dimension = 'region')", "'global'", "detail", both,
-         "rank() OVER (ORDER BY oc10 IS NULL, oc10 DESC, detail)"),
-        (13, f"(FROM regions WHERE region = '{FOCUS}')", year, "region", "pct10, NULL, NULL",
-         "rank() OVER (ORDER BY year_started)"),
-        (14, "(FROM headlines UNION ALL BY NAME FROM key_bands)", "dimension", "detail", both,
-         "list_position(['genre', 'region', 'age'], dimension)"),
-    )
-    union = "\nUNION ALL\n".join(
-        f"SELECT {slide}, '{_BLOCK_NAMES[slide]}', {dimension}, {detail}, {values}, {number} FROM {source}"
-        for slide, source, dimension, detail, values, number in lines
-    )
+    """The lines of the seven blocks, values in tenths, each block numbered in its own order."""
     return f"""
         SELECT slide, source_table, dimension, CAST(detail AS VARCHAR) AS detail, a / 10.0 AS valeur,
                b / 10.0 AS valeur_2, c / 10.0 AS ecart, CAST(line AS BIGINT) AS rang
-        FROM ({union}) AS lines (slide, source_table, dimension, detail, a, b, c, line)"""
+        FROM (
+            SELECT 8 AS slide, '{_BLOCK_NAMES[8]}' AS source_table, year_started::VARCHAR AS dimension,
+                   NULL AS detail, nb_students * 10 AS a, NULL AS b, NULL AS c,
+                   rank() OVER (ORDER BY year_started) AS line
+            FROM headcount
+            UNION ALL
+            SELECT 9, '{_BLOCK_NAMES[9]}', year_started::VARCHAR, gender, n * 10, pct10, NULL,
+                   rank() OVER (PARTITION BY year_started ORDER BY gender)
+            FROM genders
+            UNION ALL
+            SELECT 10, '{_BLOCK_NAMES[10]}', 'global', detail, oc10, insee10, gap10, rank() OVER (ORDER BY detail)
+            FROM compared WHERE dimension = 'age'
+            UNION ALL
+            SELECT 11, '{_BLOCK_NAMES[11]}', year_started::VARCHAR, age_group, pct10, NULL, NULL,
+                   rank() OVER (ORDER BY year_started, pct10 DESC, age_group)
+            FROM ages WHERE rang < 6
+            UNION ALL
+            SELECT 12, '{_BLOCK_NAMES[12]}', 'global', detail, oc10, insee10, gap10,
+                   rank() OVER (ORDER BY oc10 IS NULL, oc10 DESC, detail)
+            FROM compared WHERE dimension = 'region'
+            UNION ALL
+            SELECT 13, '{_BLOCK_NAMES[13]}', year_started::VARCHAR, region, pct10, NULL, NULL,
+                   rank() OVER (ORDER BY year_started)
+            FROM regions WHERE region = '{FOCUS}'
+            UNION ALL
+            SELECT 14, '{_BLOCK_NAMES[14]}', dimension, detail, oc10, insee10, gap10,
+                   list_position(['genre', 'region', 'age'], dimension)
+            FROM (FROM headlines UNION ALL BY NAME FROM key_bands)
+        ) AS lines"""
 
 
 # Named building blocks in dependency order: name -> (needs, SQL).
@@ -236,23 +245,23 @@ def _check_lines() -> str:
     years, genders = _years(YEARS), f"'M', 'F', '{SILENT}'"
     slides = _years(range(8, 15))
     block_names = ", ".join(f"'{name}'" for name in _BLOCK_NAMES.values())
-    nulls = {
-        ("students_raw", "students_raw"): "USER_ID AGE_GROUP REGION YEAR_PATH_STARTED",
-        ("population_raw", "population_raw"): "REGION SEXE AGE_GROUP POPULATION ANNEE",
-        ("stg_students", "stg_students"): "USER_ID gender year_started age_group region",
-        ("students_by_year", "headcount"): "year_started nb_students",
-        ("age_distribution", "ages"): "year_started pct_of_year=pct10",
-        ("region_distribution", "regions"): "year_started region",
-        ("gender_evolution", "genders"): "gender",
-        ("annual_synthesis", "synthesis"): "year_started nb_students",
-        ("comparison_mart", "mart"): "dimension",
-        ("block_export", "blocks"): "slide source_table dimension rang",
-    }
+    nulls = (
+        ("students_raw", "students_raw", ("USER_ID", "AGE_GROUP", "REGION", "YEAR_PATH_STARTED")),
+        ("population_raw", "population_raw", ("REGION", "SEXE", "AGE_GROUP", "POPULATION", "ANNEE")),
+        ("stg_students", "stg_students", ("USER_ID", "gender", "year_started", "age_group", "region")),
+        ("students_by_year", "headcount", ("year_started", "nb_students")),
+        ("age_distribution", "ages", ("year_started", "pct_of_year")),
+        ("region_distribution", "regions", ("year_started", "region")),
+        ("gender_evolution", "genders", ("gender",)),
+        ("annual_synthesis", "synthesis", ("year_started", "nb_students")),
+        ("comparison_mart", "mart", ("dimension",)),
+        ("block_export", "blocks", ("slide", "source_table", "dimension", "rang")),
+    )
     lines = []
-    for (model, source), columns in nulls.items():
-        for column in columns.split():
-            name, _, actual = column.partition("=")
-            lines.append((model, "not_null", name, f"{actual or name} IS NULL", source, "NULL"))
+    for model, source, columns in nulls:
+        for column in columns:
+            value = "pct10" if column == "pct_of_year" else column  # shares are kept in tenths
+            lines.append((model, "not_null", column, f"{value} IS NULL", source, "NULL"))
     for model, source, column, values in (
         ("stg_students", "stg_students", "gender", genders),
         ("stg_students", "stg_students", "year_started", years),
@@ -393,6 +402,17 @@ def oracle_sql() -> dict[str, str]:
             SELECT pct_oc AS pct_f_oc, pct_insee AS pct_f_insee, ecart_pts FROM mart WHERE dimension = 'genre'""",
             "mart"),
         "compare_all": mart,
+        "report_headcounts": _with(
+            "SELECT year_started, nb_students, nb_students_distincts FROM headcount", "headcount"),
+        "report_gender_shares": _with(
+            "SELECT year_started, gender, pct10 / 10.0 AS pct_of_year FROM genders", "genders"),
+        "report_age_comparison": _with("""
+            SELECT detail AS age_group, pct_oc, pct_insee, ecart_pts FROM mart WHERE dimension = 'age'""", "mart"),
+        "report_top_bands": _with(
+            "SELECT year_started, age_group, pct10 / 10.0 AS pct_of_year FROM ages WHERE rang < 6", "ages"),
+        "report_region_comparison": _with("""
+            SELECT detail AS region, pct_oc, pct_insee, ecart_pts, ratio FROM mart WHERE dimension = 'region'""",
+            "mart"),
         "annual_synthesis": _with("SELECT * FROM synthesis", "synthesis"),
         "band_group_rollup": _with("""
             SELECT dimension, detail, oc10 / 10.0 AS pct_oc, insee10 / 10.0 AS pct_insee, gap10 / 10.0 AS ecart_pts

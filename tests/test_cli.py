@@ -20,3 +20,4 @@ def test_reshape_then_build(spark, sf_dir, tmp_path, capsys):
     blocks = spark.read.parquet(f"{out}/block_export")
     assert spark.read.option("header", True).csv(f"{out}/block_export_csv").count() == blocks.count()
     assert not (tmp_path / "out" / "stg_students_csv").exists()
+    assert not (tmp_path / "out" / "students_raw").exists()

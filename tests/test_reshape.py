@@ -38,7 +38,7 @@ def test_only_region_rows_stay(wide):
 
 
 def test_unpivot_skips_totals_and_empty_cells_and_truncates(wide):
-    long = unpivot_population(wide, [2022, 2023, 2024, 2025])
+    long = unpivot_population(wide, [2023])
     assert long.columns == ["REGION", "SEXE", "AGE_GROUP", "POPULATION", "ANNEE"]
     assert dict(long.dtypes)["POPULATION"] == "bigint"
     corse = {(s, a): p for _, s, a, p, _ in rows(long.where(F.col("REGION") == "Corse"))}
@@ -63,6 +63,32 @@ def test_a_bad_cell_in_a_region_row_fails(spark):
         unpivot_population(df, [2023]).collect()
 
 
+def test_a_row_of_texts_is_no_heading(spark):
+    df = spark.createDataFrame([sheet_row("Corse", 2023, {c: "nd" for c in WIDE_COLUMNS})], POPULATION_WIDE)
+    with pytest.raises(Exception, match="nd"):
+        unpivot_population(df, [2023]).collect()
+
+
+def test_decimals_are_cut_off(spark):
+    df = spark.createDataFrame([sheet_row("Corse", 2023, {"c1": "12.9999999999", "c2": "7.5"})], POPULATION_WIDE)
+    assert set(rows(unpivot_population(df, [2023]), "POPULATION")) == {(12,), (7,)}
+
+
+def test_a_missing_sheet_fails(wide):
+    with pytest.raises(ValueError, match="2022, 2024"):
+        unpivot_population(wide, [2022, 2023, 2024])
+
+
+@pytest.mark.parametrize("fields", [41, 63, 65, 71])
+def test_rows_of_another_width_fail(spark, tmp_path, fields):
+    folder = tmp_path / "sheets" / "year=2023"
+    folder.mkdir(parents=True)
+    (folder / "sheet.csv").write_text(",".join(["Corse", *["1"] * (fields - 1)]) + "\n", encoding="utf-8")
+    sheets = files.read_population_wide(spark, str(tmp_path / "sheets"))
+    with pytest.raises(Exception, match="MALFORMED|malformed"):
+        unpivot_population(sheets, [2023]).collect()
+
+
 def test_unread_years_are_pruned(spark, wide, tmp_path):
     path = str(tmp_path / "sheets")
     files.write_sheets(wide, path)

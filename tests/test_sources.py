@@ -26,14 +26,14 @@ def test_students_csv_keeps_spaces_quotes_and_accents(spark, raw_students, tmp_p
     assert part_files(path)[0].read_text(encoding="utf-8").splitlines()[0] == ",".join(STUDENTS_RAW.names)
 
 
-def test_csv_without_value_reads_null_and_spaces_stay(spark, tmp_path):
+def test_csv_without_value_reads_null_and_quoted_texts_stay(spark, tmp_path):
     path = tmp_path / "students.csv"
     path.write_text(
         "USER_ID,PATH_CATEGORY_NAME,AGE_GROUP,GENDER,REGION,YEAR_PATH_STARTED\n"
         'u1,Data,20-24 ans,,DROM,2022\nu2,Data,20-24 ans,"",DROM,2022\nu3,Data,20-24 ans,  ,DROM,2022\n',
         encoding="utf-8",
     )
-    assert rows(files.read_students(spark, str(path)), "USER_ID", "GENDER") == [("u1", None), ("u2", None), ("u3", "  ")]
+    assert rows(files.read_students(spark, str(path)), "USER_ID", "GENDER") == [("u1", None), ("u2", ""), ("u3", "  ")]
 
 
 def test_csv_with_a_bad_number_fails(spark, tmp_path):
@@ -149,3 +149,10 @@ def test_population_csv_schema(spark, tmp_path):
     files.write_csv(df, str(tmp_path / "p"))
     back = files.read_population(spark, str(tmp_path / "p"))
     assert back.dtypes == df.dtypes and rows(back) == rows(df)
+
+
+def test_texts_survive_a_csv_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([(1, ""), (2, None), (3, "  "), (4, "a\nb"), (5, 'say "x", y')], "i int, text string")
+    path = str(tmp_path / "texts")
+    files.write_csv(df, path)
+    assert rows(files.read_csv(spark, path, df.schema, line_breaks=True)) == rows(df)
