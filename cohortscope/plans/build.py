@@ -96,6 +96,8 @@ def base_models(
         **_student_inputs(students_raw, settings),
         "population": harmonise_population(population_raw, settings),
     })
+    if landed["population"].where(F.col("annee") == settings.benchmark_year).isEmpty():
+        raise ValueError(f"the population has no benchmark year {settings.benchmark_year}")
     enrolments = _student_models(students_raw, landed, settings)
     return Models(
         {**enrolments.frames, "population_raw": population_raw, "stg_population": landed["population"]},

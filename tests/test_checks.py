@@ -1,3 +1,4 @@
+import dataclasses
 from decimal import Decimal as D
 
 import pytest
@@ -8,6 +9,7 @@ from cohortscope.operators import checks, indicators
 from cohortscope.plans import build, reports
 from cohortscope.schemas import POPULATION_RAW
 from cohortscope.settings import NON_RESPONSE, POPULATION_BANDS, Settings
+from cohortscope.sources import derived
 from cohortscope.sources.files import read_csv
 
 
@@ -168,3 +170,9 @@ def test_marts_that_fail_replace_nothing(spark, raw_students, raw_population, tm
     with pytest.raises(checks.GateFailure, match=r"range\(block_export\.slide\): 3, such as 14"):
         build.build(changed, raw_population, out)
     assert rows(spark.read.parquet(f"{out}/block_export")) == good
+
+
+def test_a_missing_benchmark_year_stops_the_build(spark, sf_dir, tmp_path):
+    settings = dataclasses.replace(derived.SETTINGS, benchmark_year=2030)
+    with pytest.raises(ValueError, match="2030"):
+        build.build(derived.students_raw(spark, sf_dir), derived.population_raw(spark, sf_dir), str(tmp_path), settings)
