@@ -33,10 +33,11 @@ ENDINGS = {"latin": {"f": "na", "m": "rd"}, "cyrillic": {"f": "на", "m": "рд
 
 _TITLE = "|".join(sorted((t for titles in TITLES.values() for t in titles), key=len, reverse=True))
 _WORD = "\\p{Lu}[\\p{L}\\p{M}'’-]{1,40}+"
-#: Entities. The bounded and possessive quantifiers keep matching linear in the text.
+#: Entities. The bounded and possessive quantifiers keep matching linear in the text; an address has at most the 127
+#: labels of 63 characters that a host name can have, other runs of letters and digits may be of any length.
 PATTERNS = {
-    "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]{1,64}+@(?:[A-Za-z0-9-]{1,63}+\\.){1,8}[A-Za-z]{2,24}",
-    "secret": "(?<![0-9A-Za-z])[0-9a-f]{32,128}+(?![0-9A-Za-z])",
+    "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\\.){1,127}[A-Za-z]{2,63}+",
+    "secret": "(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])",
     "ip": "(?<![\\d.])(?:\\d{1,3}\\.){3}\\d{1,3}(?!\\.?\\d)",
     "phone": "(?<![\\d+])\\+\\d{1,3}[ .-]?\\(?\\d{2,4}\\)?(?:[ .-]?\\d{2,4}){2,4}(?!\\d)",
     "ssn": "(?<![\\d-])\\d{3}-\\d{2}-\\d{4}(?![\\d-])",
@@ -52,7 +53,7 @@ def kind(entity: Column) -> Column:
     """The type of an entity that PATTERN found."""
     return (
         F.when(entity.contains("@"), "email")
-        .when(entity.rlike("^[0-9a-f]{32,}$"), "secret")
+        .when(entity.rlike("^[0-9A-Fa-f]{32,}$"), "secret")
         .when(entity.rlike("^\\d{1,3}(\\.\\d{1,3}){3}$"), "ip")
         .when(entity.startswith("+"), "phone")
         .when(entity.rlike("^\\d{3}-\\d{2}-\\d{4}$"), "ssn")
@@ -82,7 +83,7 @@ def units(entity: Column) -> Column:
     digits = F.regexp_replace(entity, "\\D", "")
     return let(kind(entity), lambda type_: F.when(type_ == "name", named(entity)).otherwise(F.array(F.concat(
         type_, F.lit(":"),
-        F.when(type_ == "email", F.lower(entity)).when(type_.isin("secret", "ip"), entity).otherwise(digits)))))
+        F.when(type_.isin("email", "secret"), F.lower(entity)).when(type_ == "ip", entity).otherwise(digits)))))
 
 
 def _drawn(unit: Column, attempt: Column, key: str) -> Column:
@@ -107,6 +108,14 @@ def _characters(form: Column, drawn: Column, first: Column) -> Column:
         .otherwise(c)))), "")
 
 
+def _hex(drawn: Column, length: Column) -> Column:
+    """`length` hex digits: the drawn ones, and where they are too few, further blocks hashed from them."""
+    further = F.transform(F.sequence(F.lit(1), F.ceil(length / 64).cast("int")), lambda block: F.sha2(
+        F.concat_ws("|", drawn, block.cast("string")), 256))
+    return F.when(length <= 64 * _HEX, F.substring(drawn, F.lit(1), length)).otherwise(
+        F.substring(F.concat(drawn, F.array_join(further, "")), F.lit(1), length))
+
+
 def _luhn_sum(digits: Column) -> Column:
     """The sum whose last digit is 0 for a valid card number."""
     return F.aggregate(F.transform(F.split(F.reverse(digits), ""), lambda c, i: let(
@@ -159,7 +168,7 @@ def surrogate(unit: Column, attempt: Column, key: str) -> Column:
             1 + _number(drawn, i) % 254).cast("string")), ".")
         return (
             F.when(type_ == "email", email)
-            .when(type_ == "secret", F.substring(drawn, F.lit(1), F.length(form)))
+            .when(type_ == "secret", _hex(drawn, F.length(form)))
             .when(type_ == "ip", ip)
             .when(type_ == "phone", F.concat(F.substring(form, 1, 1), _characters(
                 F.substring(form, F.lit(2), F.length(form)), drawn, F.lit(0))))
@@ -183,10 +192,17 @@ def _written(entity: Column, drawn: Column) -> Column:
                 F.substring(kept, F.size(F.filter(F.slice(own, F.lit(1), i + 1), lambda x: x.isNotNull())), F.lit(1)),
                 lambda new: F.when(c.rlike("[A-Z]"), F.upper(new)).otherwise(new))).otherwise(c)), ""))
 
+    def cased(form: Column, core: Column) -> Column:
+        """`core` in the letter case of `form`, place by place; both have the same length."""
+        return F.array_join(F.zip_with(F.split(form, ""), F.split(core, ""), lambda c, new: F.when(
+            c.rlike("[A-Z]"), F.upper(new)).otherwise(new)), "")
+
     title = F.regexp_extract(entity, f"^(?:{_TITLE})\\.? ", 0)
     return let(kind(entity), lambda type_: (
         F.when(type_ == "name", F.concat(title, F.array_join(F.transform(drawn, lambda w: F.initcap(w)), " ")))
         .when(type_ == "ip", drawn[0])
+        .when((type_ == "secret") & entity.rlike("[A-F]") & ~entity.rlike("[a-f]"), F.upper(drawn[0]))
+        .when(type_.isin("email", "secret"), cased(entity, drawn[0]))
         .otherwise(like(entity, drawn[0]))))
 
 

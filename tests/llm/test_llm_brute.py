@@ -196,6 +196,35 @@ def test_surrogates_keep_type_format_gender_and_identity(spark):
     assert names and names[2] == names[3] and "Smith" not in two
 
 
+HEX = re.compile(r"(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}(?![0-9A-Za-z])")
+
+
+def test_no_secret_survives(spark, sf_dir, texts):
+    tokens = [hashlib.sha512(str(i).encode()).hexdigest() * 20 for i in range(4)]
+    upper, lower, mixed = tokens[0][:40].upper(), tokens[0][:40], tokens[0][:20] + tokens[0][20:40].upper()
+    listed = [f'TOKEN = "{upper}"!!', f"{lower} and {mixed}"]
+    listed += [f"key={t[:n]};" for t, n in zip(tokens, (129, 256, 257, 2500), strict=True)]
+    planted = {-1 - i: text for i, text in enumerate(listed)}
+    docs = spark.createDataFrame(list((texts | planted).items()), "doc_id long, text string")
+    new = {i: r["text"] for i, r in by_id(pii.replace(docs)).items()}
+    real = {t.lower() for text in (texts | planted).values() for t in HEX.findall(text)}
+    assert len(real) >= 5
+    for doc_id, text in (texts | planted).items():
+        got = HEX.findall(new[doc_id])
+        assert list(map(len, got)) == list(map(len, HEX.findall(text))) and not {t.lower() for t in got} & real
+    (first,), (second, third) = HEX.findall(new[-1]), HEX.findall(new[-2])
+    assert first.isupper() and second.islower() and first.lower() == second == third.lower()
+    assert HEX.sub("", new[-1]) == 'TOKEN = ""!!'
+
+
+@pytest.mark.parametrize("address", ["a" * 65 + "@host.org", "Ab.9" * 500 + "@" + "x." * 20 + "host.org"])
+def test_long_addresses(spark, address):
+    docs = spark.createDataFrame([(1, f"to {address}, {address.lower()}.")], "doc_id long, text string")
+    first, second = re.fullmatch(r"to (\S+), (\S+)\.", pii.replace(docs).first()["text"]).groups()
+    assert first.lower() == second and len(first) == len(address) and first.endswith(".org")
+    assert all(a != b for a, b in zip(first.split("@"), address.split("@"), strict=True)) and "aaaaa" not in first
+
+
 def test_clashing_surrogates_are_drawn_again(spark):
     docs = spark.createDataFrame([(i, f"ssn {i:03d}-00-0000 and 10.0.{i}.1") for i in range(200)],
                                  "doc_id long, text string")
