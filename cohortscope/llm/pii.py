@@ -39,11 +39,26 @@ PATTERNS = {
     "email": "(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@(?:[A-Za-z0-9-]{1,63}+\\.){1,127}[A-Za-z]{2,63}+",
     "secret": "(?<![0-9A-Za-z])[0-9A-Fa-f]{32,}+(?![0-9A-Za-z])",
     "ip": "(?<![\\d.])(?:\\d{1,3}\\.){3}\\d{1,3}(?!\\.?\\d)",
-    "phone": "(?<![\\d+])\\+\\d{1,3}[ .-]?\\(?\\d{2,4}\\)?(?:[ .-]?\\d{2,4}){2,4}(?!\\d)",
     "ssn": "(?<![\\d-])\\d{3}-\\d{2}-\\d{4}(?![\\d-])",
     "card": "(?<![\\d-])(?:\\d{4}[ -]?){3}\\d{1,7}(?!\\d)",
     "name": f"(?<![\\p{{L}}\\p{{M}}])(?:{_TITLE})\\.? {_WORD}(?: {_WORD})?",
 }
+
+
+def _plus(low: int, high: int) -> str:
+    """A plus sign and `low` to `high` digits, written out: Java repeats no group in a lookbehind."""
+    digit = "[ .()-]{0,3}\\d"
+    return "\\+" + digit * low + f"(?:{digit}" * (high - low) + ")?" * (high - low)
+
+
+#: No group of a phone number: an address or a secret, and, from seven digits on, any other entity with digits.
+_NEXT = (f"(?![ .-](?:{PATTERNS['email']}|{PATTERNS['secret']}))(?!(?<={_plus(7, 23)})[ .-]"
+         f"(?:{PATTERNS['ip']}|{PATTERNS['ssn']}|{PATTERNS['card']}(?![ -]\\d{{4}}(?!\\d))))")
+_PHONE = f"\\+\\d{{1,3}}[ .-]?\\(?\\d{{2,4}}\\)?(?:{_NEXT}[ .-]?\\d{{2,4}}){{2,4}}(?!\\d)"
+#: The ten digits after +1; else 15 digits at most, unless more follow without a space.
+PATTERNS["phone"] = (
+    "(?<![\\d+])(?:\\+1[ .-]?\\(?\\d{3}\\)?[ .-]?\\d{3}[ .-]?\\d{4}(?![.-]?\\d)"
+    f"|{_PHONE}(?<!{_plus(16, 23)})(?![.-]?\\d)|{_PHONE})")
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KEY = "public test key"
 _HEX = 4  # blocks of 64 hex digits that are drawn for a unit

@@ -225,6 +225,30 @@ def test_long_addresses(spark, address):
     assert all(a != b for a, b in zip(first.split("@"), address.split("@"), strict=True)) and "aaaaa" not in first
 
 
+SIDE_BY_SIDE = {
+    "ip": "190.137.223.204", "ssn": "123-45-6789", "card": "4111 1111 1111 1111", "email": "99bob@host.org",
+    "secret": "1234" + "ab12" * 9, "phone": "+1 (843) 555-7672",
+}
+
+
+@pytest.mark.parametrize("phone", ["+1 (826) 555-4081", "+44 20 7946 0958", "+354 555 1234", "+33 01 42.68.53.12"])
+def test_entities_side_by_side(spark, phone):
+    listed = [phone, *(f"{phone} {other}" for other in SIDE_BY_SIDE.values()), *SIDE_BY_SIDE.values()]
+    docs = spark.createDataFrame(list(enumerate(listed)), "doc_id long, text string")
+    alone, *got = (r["text"] for r in pii.replace(docs).orderBy("doc_id").collect())
+    both, others = got[: len(SIDE_BY_SIDE)], got[len(SIDE_BY_SIDE) :]
+    assert alone != phone and re.sub(r"\d", "9", alone) == re.sub(r"\d", "9", phone)
+    assert both == [f"{alone} {other}" for other in others]
+    assert all(new != old for new, old in zip(others, SIDE_BY_SIDE.values(), strict=True))
+
+
+def test_no_number_follows_a_phone(spark):
+    listed = ["+1 (826) 555-4081", "+1 (826) 555-4081 190 people", "+44 20 7946 0958 1234 5678", "+44 20 7946 0958"]
+    docs = spark.createDataFrame(list(enumerate(listed)), "doc_id long, text string")
+    one, two, three, four = (r["text"] for r in pii.replace(docs).orderBy("doc_id").collect())
+    assert two == f"{one} 190 people" and three == f"{four} 1234 5678"
+
+
 def test_clashing_surrogates_are_drawn_again(spark):
     docs = spark.createDataFrame([(i, f"ssn {i:03d}-00-0000 and 10.0.{i}.1") for i in range(200)],
                                  "doc_id long, text string")
