@@ -9,7 +9,6 @@ tokens come back whole.
 from __future__ import annotations
 
 import base64
-import hashlib
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -17,13 +16,16 @@ from pathlib import Path
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
 from cohortscope.llm.text import blocks
 
 RANKS = "byte_bpe_50k.tiktoken"
 PATTERN = public_tokenizers.PATTERN
+_ROWS = 64  # rows whose ids are decoded at once
 _SCHEMA = "doc_id bigint, ids array<int>, starts array<int>, char_starts array<int>"
 
 
@@ -60,7 +62,6 @@ class Codec:
 
     def __init__(self, tokens: list[bytes], pattern: str = PATTERN):
         self.tokens = tokens
-        self.names = list(map(str, range(len(tokens))))
         self.lengths = np.array([len(t) for t in tokens], dtype=np.int64)
         characters = byte_characters()
         ranks = {token: rank for rank, token in enumerate(tokens)}
@@ -91,13 +92,13 @@ class Codec:
 
     def byte_starts(self, ids: list[int]) -> np.ndarray:
         """For each token the offset of its first byte."""
-        ends = np.cumsum(self.lengths[ids] if ids else np.zeros(0, np.int64))
-        return ends - (self.lengths[ids] if ids else 0)
+        lengths = self.lengths[np.asarray(ids, dtype=np.int64)]
+        return np.cumsum(lengths) - lengths
 
     def char_starts(self, ids: list[int], data: bytes) -> np.ndarray:
         """For each token the offset of the character that its first byte belongs to."""
         leads = (np.frombuffer(data, dtype=np.uint8) & 0xC0) != 0x80
-        return np.cumsum(leads)[self.byte_starts(ids)] - 1 if ids else np.zeros(0, np.int64)
+        return np.cumsum(leads)[self.byte_starts(ids)] - 1 if len(ids) else np.zeros(0, np.int64)
 
 
 def ranks_of(spark: SparkSession, path: str | None = None):
@@ -110,10 +111,12 @@ def _codec(tokens: tuple[bytes, ...], pattern: str) -> Codec:
     return Codec(list(tokens), pattern)
 
 
-def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, rows) -> DataFrame:
-    """Apply `rows(codec, block, ids of each text)`, which gives the columns after doc_id, to blocks of texts."""
+def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) -> DataFrame:
+    """One row a document: token ids, and for each token the offset of its first byte and of that byte's character.
+
+    A null text counts as empty and gives empty lists; repeated rows are encoded each.
+    """
     tokens = ranks_of(docs.sparkSession, path)
-    names = [field.split()[0] for field in schema.split(", ")][1:]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
@@ -123,54 +126,56 @@ def _encoded(docs: DataFrame, path: str | None, pattern: str, schema: str, rows)
         for batch in batches:
             for block in blocks(batch.column("text")):
                 texts = [t.decode("utf-8", "replace") for t in block.texts()]
-                columns = rows(codec, block, codec.encode(texts))
-                ids = batch.column("doc_id").slice(block.first, len(block))
-                yield pa.RecordBatch.from_arrays([ids, *columns], ["doc_id", *names])
-
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
-
-
-def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) -> DataFrame:
-    """One row a document: token ids, and for each token the offset of its first byte and of that byte's character.
-
-    A null text counts as empty and gives empty lists; repeated rows are encoded each.
-    """
-
-    def rows(codec: Codec, block, ids: list[list[int]]) -> list[pa.Array]:
-        lists = [ids, [codec.byte_starts(i) for i in ids],
-                 [codec.char_starts(i, t) for i, t in zip(ids, block.texts(), strict=True)]]
-        return [pa.array(x, pa.list_(pa.int32())) for x in lists]
-
-    return _encoded(docs, path, pattern, _SCHEMA, rows)
-
-
-def digests(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) -> DataFrame:
-    """One row a document: the number of ids, a hash of the ids and a hash of the bytes they decode to."""
-
-    def rows(codec: Codec, block, ids: list[list[int]]) -> list[pa.Array]:
-        def hashed(parts: list[bytes]) -> pa.Array:
-            return pa.array([hashlib.sha256(p).hexdigest() for p in parts], pa.string())
-
-        return [pa.array([len(i) for i in ids], pa.int64()),
-                hashed([" ".join([codec.names[j] for j in i]).encode() for i in ids]),
-                hashed([codec.decode_bytes(i) for i in ids])]
-
-    return _encoded(docs, path, pattern, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string",
-                    rows)
-
-
-def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
-    """The texts of `ids`: joined bytes, read as UTF-8. Null ids give a null text."""
+                ids = [np.array(i, dtype=np.int32) for i in codec.encode(texts)]
+                lists = [ids, [codec.byte_starts(i) for i in ids],
+                         [codec.char_starts(i, t.encode()) for i, t in zip(ids, texts, strict=True)]]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(block.first, len(block)),
+                     *[pa.array([x.astype(np.int32) for x in c], pa.list_(pa.int32())) for c in lists]],
+                    ["doc_id", "ids", "starts", "char_starts"])
+
+    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
+
+
+def _joined(ids: pa.Array, table: pa.Array) -> list[str | None]:
+    """The text of each list of ids: the bytes of all lists are joined at once and cut where a list ends."""
+    ends = np.cumsum(pc.fill_null(pc.list_value_length(ids), 0).to_numpy(zero_copy_only=False))
+    flat = table.take(ids.flatten())
+    sizes = pc.binary_length(flat).to_numpy(zero_copy_only=False)
+    at = np.concatenate([[0], np.cumsum(sizes)])[np.concatenate([[0], ends])].astype(np.int64).tolist()
+    data = flat.buffers()[2].to_pybytes() if at[-1] else b""
+    return [data[a:b].decode("utf-8", "replace") if known else None
+            for a, b, known in zip(at, at[1:], ids.is_valid().to_pylist(), strict=False)]
+
+
+def decode(encoded: DataFrame, path: str | None = None, keep: tuple[str, ...] = ()) -> DataFrame:
+    """The texts of `ids`: joined bytes, read as UTF-8. Null ids give a null text. Columns to `keep` go along."""
     tokens = ranks_of(encoded.sparkSession, path)
+    own = encoded.select("doc_id", *[c for c in keep if c != "ids"], "ids")
+    names = ["doc_id", *keep]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = tokens.value
+        table = pa.array(tokens.value, pa.large_binary())
         for batch in batches:
-            texts = [None if ids is None else b"".join([table[i] for i in ids]).decode("utf-8", "replace")
-                     for ids in batch.column("ids").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
-                                             ["doc_id", "text"])
+            for first in range(0, batch.num_rows, _ROWS):
+                part = batch.slice(first, _ROWS)
+                texts = pa.array(_joined(part.column("ids"), table), pa.string())
+                yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], texts], [*names, "text"])
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id bigint, text string")
+    return own.mapInArrow(run, encoded.select(*names).schema.add("text", "string"))
 
 
+def read_back(docs: DataFrame, path: str | None = None, pattern: str = PATTERN,
+              keep: tuple[str, ...] = ("ids", "starts", "char_starts")) -> DataFrame:
+    """One row a document: what `encode` gives of the columns to `keep` (`ids` at least), the text that the ids decode
+    to, the number of ids, a hash of the ids and a hash of the decoded text."""
+    return decode(encode(docs, path, pattern), path, keep).withColumns({
+        "n_tokens": F.size("ids").cast("bigint"),
+        "ids_sha256": F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256),
+        "decoded_sha256": F.sha2("text", 256),
+    })
+
+
+def digests(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) -> DataFrame:
+    """One row a document: the number of ids, a hash of the ids and a hash of the text they decode to."""
+    return read_back(docs, path, pattern).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -50,6 +50,35 @@ def test_offsets_and_split_characters(spark):
     assert len(emoji) > 1 and codec.decode(emoji) == "🙂" and codec.decode(emoji[:1]) == "�"
 
 
+def test_digests_come_from_encode_and_decode(spark, monkeypatch):
+    texts = {1: "né 日本🙂", 2: "", 3: None, 4: "plain words " * 300, None: "no id"} | {i: f"t {i}" for i in range(5, 90)}
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path(bpe.RANKS)))
+    found = by_id(corpus_pipeline.encode(spark, docs, ""))
+    assert found.keys() == texts.keys()
+    for doc_id, row in found.items():
+        text = texts[doc_id] or ""
+        assert row["ids"] == codec.encode([text])[0] and row["n_tokens"] == len(row["ids"]) and row["text"] == text
+        assert row["starts"] == codec.byte_starts(row["ids"]).tolist()
+        assert row["char_starts"] == codec.char_starts(row["ids"], text.encode()).tolist()
+        assert row["ids_sha256"] == hashlib.sha256(" ".join(map(str, row["ids"])).encode()).hexdigest()
+        assert row["decoded_sha256"] == hashlib.sha256(text.encode()).hexdigest()
+    called = []
+    for name in ("encode", "decode"):
+        monkeypatch.setattr(bpe, name, lambda *a, own=getattr(bpe, name), name=name: called.append(name) or own(*a))
+    bpe.digests(docs)
+    assert called == ["encode", "decode"]
+
+
+def test_decode_of_cut_and_null_ids(spark):
+    codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path(bpe.RANKS)))
+    emoji = codec.encode(["🙂"])[0]
+    encoded = spark.createDataFrame([(1, emoji), (2, None), (3, emoji[:1]), (4, []), (5, emoji + emoji)],
+                                    "doc_id long, ids array<int>")
+    assert {i: r["text"] for i, r in by_id(bpe.decode(encoded)).items()} == {
+        1: "🙂", 2: None, 3: "\ufffd", 4: "", 5: "🙂🙂"}
+
+
 def longest_match(word, begin, go_on):
     at = count = 0
     while at < len(word):
