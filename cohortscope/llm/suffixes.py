@@ -150,7 +150,8 @@ def _cut_out(docs: DataFrame, wanted: DataFrame, length: int) -> DataFrame:
 
     runs = by_text.agg(F.sum(F.size("wanted")).alias("n")).first()["n"] or 0
     side = F.broadcast(by_text) if runs <= MAX_BROADCAST_ROWS else by_text  # a few numbers a run
-    joined = docs.select("doc_id", "text_key", "text").join(side, ["doc_id", "text_key"])
+    own = docs.select(F.col("doc_id").alias("id"), F.col("text_key").alias("key"), "text")
+    joined = own.join(side, F.col("id").eqNullSafe(F.col("doc_id")) & (F.col("key") == F.col("text_key")))
     return joined.select("text", "wanted").mapInArrow(run, "anchor bigint, run bigint, windows int, data binary")
 
 
@@ -237,8 +238,9 @@ def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     keyed = docs.select("doc_id", "text", F.xxhash64("text").alias("text_key"))
     runs = land(_runs(keyed, length, gram), "window_runs")
     kinds = land(runs.groupBy("anchor", "run").agg(
-        F.count("*").alias("copies"), F.min(F.struct("doc_id", "text_key", "start", "windows")).alias("one")
-    ).select("anchor", "run", "copies", "one.*"), "run_kinds")
+        F.count("*").alias("copies"), F.min(F.struct(
+            F.col("doc_id").isNull().alias("no_id"), "doc_id", "text_key", "start", "windows")).alias("one")
+    ).select("anchor", "run", "copies", "one.doc_id", "one.text_key", "one.start", "one.windows"), "run_kinds")
     shared = land(kinds.groupBy("anchor").agg(F.count("*").alias("kinds")).where("kinds > 1"), "shared_anchors")
     several = kinds.join(shared, "anchor")
     cut = land(_cut_out(keyed, several, length).join(shared, "anchor")

@@ -131,3 +131,11 @@ def test_pipeline_on_edge_cases(spark, docs, labels, benchmark, tmp_path):
         frame = stage(spark, frame, str(tmp_path))
         assert frame.columns == docs.columns
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == frame.count()
+
+
+def test_repeats_shared_with_a_row_without_id(spark):
+    shared = " ".join(f"w{i}" for i in range(140))[:500]
+    listed = [(None, shared), (1, "begin " + shared + " one end"), (2, "other start " + shared + " two ends")]
+    docs = spark.createDataFrame(listed, "doc_id long, text string")
+    found = {r["doc_id"]: r["n_removed"] for r in suffixes.remove_repeats(docs).collect()}
+    assert all(found[i] >= 500 for i in (None, 1, 2))
