@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
+from cohortscope.llm import centroids, quality, ranked
 from cohortscope.llm import decontamination as seeds
-from cohortscope.llm import quality
 
 _WORDS = "regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+')"
 
@@ -167,10 +167,72 @@ FROM compared
 """
 
 
+_TERMS = ("regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), "
+          "'[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')")
+
+_RANKED = f"""
+WITH texts AS MATERIALIZED (SELECT doc_id, t, CAST(len(t) AS BIGINT) AS n FROM (
+    SELECT doc_id, {_TERMS} AS t FROM documents) WHERE len(t) > 0
+), corpus AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM texts),
+counted AS MATERIALIZED (
+    SELECT doc_id, n, term, count(*) AS tf FROM (SELECT doc_id, n, unnest(t) AS term FROM texts) GROUP BY ALL
+), weights AS MATERIALIZED (
+    SELECT term, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * df + 1 AS DOUBLE))) AS BIGINT) AS w
+    FROM (SELECT term, count(*) AS df FROM counted GROUP BY term), corpus
+), asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scored AS (
+    SELECT item_id, doc_id,
+           CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 90 + (90 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM asked JOIN weights USING (term) JOIN counted USING (term), corpus GROUP BY ALL
+), ranked AS (
+    SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+    FROM scored WHERE score > 0
+)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {ranked.TOP}
+"""
+
+
+def _centroids() -> str:
+    distance = "CAST(list_sum([(v[d] - c[d]) * (v[d] - c[d]) FOR d IN range(1, len(v) + 1)]) AS BIGINT)"
+    parts = [f"""
+WITH kept AS MATERIALIZED (
+    SELECT vec_id, [CAST(floor({centroids.SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS v
+    FROM embeddings
+    WHERE len(list_filter(embedding, lambda x: isfinite(x))) = {centroids.DIMENSIONS}
+      AND len(embedding) = {centroids.DIMENSIONS}
+), c0 AS MATERIALIZED (
+    SELECT CAST(row_number() OVER (ORDER BY h) - 1 AS INTEGER) AS cluster, v AS c FROM (
+        SELECT v, sha256('{centroids.SEED}:' || vec_id) AS h FROM kept ORDER BY h LIMIT {centroids.CLUSTERS})
+)"""]
+    for turn in range(centroids.ROUNDS + 1):
+        parts.append(f"""a{turn} AS MATERIALIZED (
+    SELECT vec_id, any_value(v) AS v, min(struct_pack(distance := {distance}, cluster := cluster)) AS best
+    FROM kept, c{turn} GROUP BY vec_id
+)""")
+        if turn < centroids.ROUNDS:
+            parts.append(f"""c{turn + 1} AS MATERIALIZED (
+    SELECT cluster, coalesce(mean, c) AS c FROM c{turn} LEFT JOIN (
+        SELECT cluster, list((s - ((s % n) + n) % n) // n ORDER BY d) AS mean FROM (
+            SELECT best.cluster AS cluster, d, count(*) AS n, CAST(sum(v[d]) AS BIGINT) AS s
+            FROM a{turn}, range(1, {centroids.DIMENSIONS + 1}) AS r(d) GROUP BY ALL) GROUP BY cluster
+    ) USING (cluster)
+)""")
+    last = centroids.ROUNDS
+    return ", ".join(parts) + f"""
+SELECT vec_id, best.cluster AS cluster, best.distance AS distance,
+       CAST(sum(best.distance) OVER (PARTITION BY best.cluster) AS BIGINT) AS cluster_inertia,
+       CAST(sum(best.distance) OVER () AS BIGINT) AS inertia,
+       sha256(array_to_string(c, ',')) AS centroid_sha256
+FROM a{last} JOIN c{last} ON c{last}.cluster = best.cluster
+"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "op1_quotations": _QUOTATIONS,
         "op3_minhash": _NEAR_DUPLICATES,
         "op5_decontamination": _contaminated(),
         "op6_divergence": _divergence(),
+        "op12_ranked_search": _RANKED,
+        "op13_centroids": _centroids(),
     }

@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cohortscope.llm import bpe, decontamination, minhash, pii, quality, quotations, sharding, suffixes, toxicity, wordpiece
+from cohortscope.llm import (
+    bpe,
+    centroids,
+    decontamination,
+    minhash,
+    packing,
+    pii,
+    quality,
+    quotations,
+    ranked,
+    sharding,
+    suffixes,
+    toxicity,
+    wordpiece,
+)
 
 SHARDS = 40
 
@@ -67,6 +81,20 @@ def op10_toxicity(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def op11_packing(spark: SparkSession, sf: str) -> DataFrame:
+    cut = packing.pieces(_table(spark, sf, "documents"))
+    return packing.pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids")).select(
+        "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
+def op12_ranked_search(spark: SparkSession, sf: str) -> DataFrame:
+    return ranked.search(_table(spark, sf, "documents"), _table(spark, sf, "benchmark"))
+
+
+def op13_centroids(spark: SparkSession, sf: str) -> DataFrame:
+    return centroids.cluster(_table(spark, sf, "embeddings")).drop("steps")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quotations": op1_quotations,
     "op2_pii": op2_pii,
@@ -78,4 +106,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_sharding": op9_sharding,
     "op10_toxicity": op10_toxicity,
+    "op11_packing": op11_packing,
+    "op12_ranked_search": op12_ranked_search,
+    "op13_centroids": op13_centroids,
 }

@@ -1,0 +1,77 @@
+"""Centroid clustering against plain loops, and the threshold algorithm against all distances."""
+
+import hashlib
+import math
+
+import numpy as np
+import pytest
+
+from cohortscope.llm import centroids, queries
+
+
+def brute(vectors, dimensions=64, k=8, rounds=10, scale=1024, seed=3):
+    """(vec_id, cluster, distance, cluster_inertia, inertia, hash) for a list of (vec_id, components)."""
+    kept = [(i, [math.floor(scale * x) for x in v]) for i, v in vectors
+            if v is not None and len(v) == dimensions and all(x is not None and math.isfinite(x) for x in v)]
+    ids = sorted(kept, key=lambda r: (r[0] is None, hashlib.sha256(f"{seed}:{r[0]}".encode()).hexdigest(), r[1]))
+    middle = [v for _, v in ids[:k]]
+
+    def place():
+        return [min((sum((a - b) ** 2 for a, b in zip(v, c, strict=True)), j) for j, c in enumerate(middle)) for _, v in kept]
+
+    for _ in range(rounds):
+        where = place()
+        for j in range(len(middle)):
+            own = [v for (_, v), (_, at) in zip(kept, where, strict=True) if at == j]
+            if own:
+                middle[j] = [sum(x) // len(own) for x in zip(*own, strict=True)]
+    where = place()
+    total = [sum(d for d, at in where if at == j) for j in range(len(middle))]
+    hashes = [hashlib.sha256(",".join(map(str, c)).encode()).hexdigest() for c in middle]
+    return sorted(((i, at, d, total[at], sum(total), hashes[at]) for (i, _), (d, at) in zip(kept, where, strict=True)), key=repr)
+
+
+def found(frame):
+    columns = ["vec_id", "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256"]
+    return sorted(map(tuple, frame.select(*columns).collect()), key=repr)
+
+
+def test_whole_table(spark, sf_dir):
+    vectors = [(r["vec_id"], r["embedding"]) for r in spark.read.parquet(f"{sf_dir}/embeddings.parquet").collect()]
+    assert found(queries.op13_centroids(spark, sf_dir)) == brute(vectors)
+
+
+@pytest.mark.parametrize(("dimensions", "k", "spread"), [(64, 8, 300), (3, 8, 4), (2, 5, 2), (5, 1, 9), (1, 8, 3), (4, 6, 1 << 27)])
+def test_walks_find_the_nearest(dimensions, k, spread):
+    rng = np.random.default_rng(dimensions)
+    vectors, middle = rng.integers(-spread, spread + 1, (2000, dimensions)), rng.integers(-spread, spread + 1, (k, dimensions))
+    if k > 3:
+        middle[2] = middle[1]
+    cluster, distance, steps = centroids.nearest(vectors, middle)
+    all_distances = ((vectors[:, None] - middle[None]) ** 2).sum(axis=2)
+    assert (cluster == all_distances.argmin(axis=1)).all() and (distance == all_distances.min(axis=1)).all()
+    assert 1 <= steps.min() and steps.max() <= k
+
+
+def test_walks_stop_early():
+    middle = np.arange(8)[:, None] * 100 * np.ones((1, 6), dtype=np.int64)
+    _, _, steps = centroids.nearest(middle + 3, middle)
+    assert steps.tolist() == [2] * 8
+
+
+def test_edge_cases(spark):
+    nan, inf = float("nan"), float("inf")
+    listed = [(1, [0.5, 1.0]), (2, [0.5, 1.0]), (2, [0.5, 1.0]), (3, None), (4, []), (5, [1.0]), (6, [None, 1.0]), (7, [nan, 1.0]),
+              (8, [inf, 1.0]), (9, [-inf, 0.0]), (None, [-0.25, 3.0]), (10, [-0.0001, 7.5]), (11, [4.0, -9.9]), (12, [1.0, 2.0, 3.0])]
+    frame = spark.createDataFrame([(i, v, 1) for i, v in listed], "vec_id long, embedding array<float>, cluster int")
+    as_float = [(i, None if v is None else [None if x is None else float(np.float32(x)) for x in v]) for i, v in listed]
+    for k in (1, 3, 8):
+        assert found(centroids.cluster(frame, dimensions=2, clusters=k)) == brute(as_float, 2, k)
+    assert centroids.cluster(frame.limit(0), dimensions=2).count() == 0
+    assert centroids.cluster(frame.where("vec_id BETWEEN 3 AND 9"), dimensions=2).count() == 0
+
+
+def test_values_too_large_for_exact_squares_stop_the_run(spark):
+    frame = spark.createDataFrame([(1, [1e30, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="exceeds"):
+        centroids.cluster(frame, dimensions=2).count()
