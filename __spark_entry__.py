@@ -272,7 +272,7 @@ def reconcile(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def gate(spark: SparkSession, sf: str) -> DataFrame:
-    return build.check_summary(build.with_marts(_base_models(spark, sf), SETTINGS), SETTINGS)
+    return build.check_summary(build.with_marts(_base_models(spark, sf), SETTINGS))
 
 
 # --- Contract -------------------------------------------------------------------------------

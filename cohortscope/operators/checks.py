@@ -1,7 +1,7 @@
 """Data-quality checks.
 
-Each check function returns the violating rows, so an empty frame passes. `summarise` counts the
-violations of many declared checks: one aggregation per model however many checks it has.
+Each check function returns the violating rows, so an empty frame passes. The violations of many declared checks
+are counted in the pass that writes a frame (`Watch`), or by `summarise` in one aggregation per model.
 """
 
 from __future__ import annotations
@@ -10,11 +10,14 @@ from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from cohortscope.settings import BLOCKS, DIMENSIONS, Settings
 
+#: Columns of a summary: one line per declared check.
+SUMMARY = "model string, kind string, column string, nb_failures bigint, example string, passed boolean"
+
 
 class GateFailure(Exception):
     """Declared checks found violations; nothing built on the data should be trusted."""
@@ -76,22 +79,31 @@ class Check:
     weight: str | None = None
     shows: str | None = None
 
-    def failures(self) -> Column:
+    def failures(self, rows: Column | None = None) -> Column:
+        """The violations among all rows, or among those that meet `rows`."""
+        found = self.violation if rows is None else rows & self.violation
         if self.weight:
-            return F.coalesce(F.sum(F.when(self.violation, F.col(self.weight))), F.lit(0)).cast("bigint")
-        return F.count_if(self.violation)
+            return F.coalesce(F.sum(F.when(found, F.col(self.weight))), F.lit(0)).cast("bigint")
+        return F.count_if(found)
 
-    def example(self) -> Column:
+    def example(self, rows: Column | None = None) -> Column:
         """The least offending value, where a value offends."""
         shown = F.col(self.shows) if self.shows else F.lit(None)
-        return F.min(F.when(self.violation, shown.cast("string")))
+        return F.min(F.when(self.violation if rows is None else rows & self.violation, shown.cast("string")))
+
+    def line(self, failures: int, example: str | None) -> tuple:
+        """This check's line of a summary."""
+        return self.model, self.kind, self.column, failures, example, failures == 0
+
+
+# Model names, columns and kinds of the declared checks.
 
 
 def declared_checks(settings: Settings = Settings()) -> list[Check]:
     """The forty checks of the pipeline.
 
-    `students_raw` and `stg_students` are checked on counted cells (weight `nb_students`);
-    `repeated_keys` and the share sums are checked on one row per year.
+    `students_raw` and `stg_students` are checked on counted cells (weight `nb_students`), `population_raw` on
+    counted population cells; `repeated_keys` and the share sums on rows that carry a year's count or total.
     """
     not_null_columns = {
         "students_raw": ("USER_ID", "AGE_GROUP", "REGION", "YEAR_PATH_STARTED"),
@@ -115,7 +127,7 @@ def declared_checks(settings: Settings = Settings()) -> list[Check]:
         ("block_export", "slide", tuple(BLOCKS.values())),
         ("block_export", "source_table", tuple(BLOCKS)),
     )
-    counted = {"students_raw": "nb_students", "stg_students": "nb_students"}
+    counted = {"students_raw": "nb_students", "stg_students": "nb_students", "population_raw": "nb_rows"}
     year, total = F.col("year_started"), F.col("total_pct")
     return [
         *(
@@ -139,6 +151,45 @@ def declared_checks(settings: Settings = Settings()) -> list[Check]:
     ]
 
 
+class Watch:
+    """Counts declared checks while a frame is written, so that the written table is not read for them.
+
+    `models` names the models that the frame stands for and, for each, which of its rows are the model's (None: all).
+    The frame has the columns that their checks name; `beside` counts further things by name. The counts are taken
+    in the write's last stage, where Spark takes in each task once, also after a task or an executor is lost.
+    """
+
+    def __init__(self, models: Mapping[str, Column | None], checks: Iterable[Check],
+                 beside: Mapping[str, Column] | None = None):
+        self.checks = [check for check in checks if check.model in models]
+        self.models, self.beside = models, dict(beside or {})
+        self._observation = Observation()
+
+    def over(self, df: DataFrame) -> DataFrame:
+        """The frame to write. A watch serves one write."""
+        counted = [c for i, check in enumerate(self.checks) for c in (
+            check.failures(self.models[check.model]).alias(f"f{i}"),
+            check.example(self.models[check.model]).alias(f"e{i}"))]
+        counted += [c.alias(name) for name, c in self.beside.items()]
+        return df.observe(self._observation, *counted) if counted else df
+
+    def lines(self) -> list[tuple]:
+        """After the write: a summary's line for each check."""
+        if not self.checks:
+            return []
+        found = self._observation.get
+        return [check.line(found.get(f"f{i}") or 0, found.get(f"e{i}")) for i, check in enumerate(self.checks)]
+
+    def value(self, name: str):
+        """After the write: what was counted beside the checks."""
+        return self._observation.get.get(name)
+
+
+def summary(spark: SparkSession, lines: Sequence[tuple]) -> DataFrame:
+    """The lines of watches, one per declared check, as a frame."""
+    return spark.createDataFrame(sorted(lines, key=lambda line: line[:3]), SUMMARY)
+
+
 def share_sums(df: DataFrame) -> DataFrame:
     """The rounded sum of shares of each year."""
     return df.groupBy("year_started").agg(F.round(F.sum("pct_of_year"), 0).alias("total_pct"))

@@ -34,6 +34,19 @@ def enrolment_cells(students_raw: DataFrame, non_response: str = NON_RESPONSE) -
     return count_by(rows.withColumn("identified", F.col("USER_ID").isNotNull()), "identified", *CELL_KEYS)
 
 
+def population_cells(population_raw: DataFrame) -> DataFrame:
+    """Raw population added up by every label, rows without a number apart, with the number of rows in `nb_rows`.
+
+    The null checks and the harmonised population both follow from it, so the raw rows are read once.
+    """
+    keys = ("REGION", "SEXE", "AGE_GROUP", "ANNEE")
+    return (
+        population_raw.groupBy(*keys, F.col("POPULATION").isNull().alias("unknown"))
+        .agg(F.sum("POPULATION").cast("bigint").alias("POPULATION"), F.count(F.lit(1)).alias("nb_rows"))
+        .select("REGION", "SEXE", "AGE_GROUP", "POPULATION", "ANNEE", "nb_rows")
+    )
+
+
 def identified_cells(cells: DataFrame) -> DataFrame:
     """Cells of the cleaned enrolments."""
     return cells.where("identified").drop("identified")

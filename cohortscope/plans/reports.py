@@ -64,11 +64,11 @@ def block_counts(blocks: DataFrame) -> DataFrame:
 
 
 def reports(models: Models, settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """Every report of a finished build by name. All but the first read small tables."""
+    """Every report of a finished build by name. All read small tables."""
     genders, regions = models["gender_evolution"], models["region_distribution"]
     comparison, focus = models["comparison_mart"], settings.focus_region
     return {
-        "returning_users": counts.returning_users(models["stg_students"]),
+        "returning_users": models["returning_users"],
         "gender_counts": gender_counts(models["cells"]),
         "headcounts": headcounts(models["students_by_year"]),
         "gender_shares": gender_shares(genders),

@@ -11,6 +11,7 @@ from cohortscope.schemas import POPULATION_RAW
 from cohortscope.settings import NON_RESPONSE, POPULATION_BANDS, Settings
 from cohortscope.sources import derived
 from cohortscope.sources.files import read_csv
+from cohortscope.sources.versions import Versions
 
 
 def enrol(n, start, age="25-29 ans", gender="M", region="DROM", year=2022):
@@ -115,7 +116,7 @@ def test_build_writes_checked_marts(spark, raw_students, raw_population, tmp_pat
     out = str(tmp_path / "out")
     models = build.build(raw_enrolments(raw_students), raw_population, out)
     for name in build.MARTS:
-        assert rows(spark.read.parquet(f"{out}/{name}")) == rows(models[name])
+        assert rows(Versions(spark, out).read(name)) == rows(models[name])
     assert models["annual_synthesis"].count() >= 4
     summary = build.check_summary(models)
     assert summary.count() == 40 and summary.where("NOT passed").isEmpty()
@@ -169,7 +170,7 @@ def test_marts_that_fail_replace_nothing(spark, raw_students, raw_population, tm
     changed = raw_enrolments(raw_students, ("w", "Data", "20-24 ans", "M", "DROM", 2022))
     with pytest.raises(checks.GateFailure, match=r"range\(block_export\.slide\): 3, such as 14"):
         build.build(changed, raw_population, out)
-    assert rows(spark.read.parquet(f"{out}/block_export")) == good
+    assert rows(Versions(spark, out).read("block_export")) == good
 
 
 def test_a_missing_benchmark_year_stops_the_build(spark, sf_dir, tmp_path):

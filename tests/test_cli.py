@@ -3,6 +3,7 @@ from helpers import rows
 from cohortscope.__main__ import main
 from cohortscope.schemas import POPULATION_RAW
 from cohortscope.sources import derived, files
+from cohortscope.sources.versions import Versions
 
 
 def test_reshape_then_build(spark, sf_dir, tmp_path, capsys):
@@ -17,7 +18,7 @@ def test_reshape_then_build(spark, sf_dir, tmp_path, capsys):
     main(["build", "--students", students, "--population", long, "--out", out, "--export", "--report",
           "--benchmark-year", "1997", "--years", *map(str, derived.SETTINGS.years)])
     assert "headline_synthesis" in capsys.readouterr().out
-    blocks = spark.read.parquet(f"{out}/block_export")
+    blocks = Versions(spark, out).read("block_export")
     assert spark.read.option("header", True).csv(f"{out}/block_export_csv").count() == blocks.count()
     assert not (tmp_path / "out" / "stg_students_csv").exists()
     assert not (tmp_path / "out" / "students_raw").exists()
