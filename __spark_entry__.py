@@ -85,7 +85,7 @@ def src_population(spark: SparkSession, sf: str) -> DataFrame:
 def unpivot_population(spark: SparkSession, sf: str) -> DataFrame:
     path = scratch_path(spark, "sheets")
     files.write_sheets(derived.population_wide(derived.population_raw(spark, sf)), path)
-    return reshape.unpivot_population(files.read_population_wide(spark, path), SHEET_YEARS)
+    return reshape.unpivot_population(files.read_population_wide(spark, path, SHEET_YEARS), SHEET_YEARS)
 
 
 def filter_footnotes(spark: SparkSession, sf: str) -> DataFrame:

@@ -48,7 +48,7 @@ def _print(df: DataFrame) -> None:
 
 
 def _reshape(spark: SparkSession, args: argparse.Namespace) -> None:
-    files.write_csv(unpivot_population(files.read_population_wide(spark, args.sheets), args.years), args.out)
+    files.write_csv(unpivot_population(files.read_population_wide(spark, args.sheets, args.years), args.years), args.out)
     written = files.read_population(spark, args.out)
     _print(distinct_values(written, ["REGION", "SEXE", "ANNEE"]).orderBy("attribute", "value"))
 

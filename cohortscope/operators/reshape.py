@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from cohortscope.schemas import WIDE_COLUMNS
-from cohortscope.settings import COLUMN_TITLES, NATIONAL_TOTALS, NOTE_PREFIXES, POPULATION_BANDS, SEX_BLOCKS
+from cohortscope.settings import HEADER_LINES, NATIONAL_TOTALS, NOTE_PREFIXES, POPULATION_BANDS, SEX_BLOCKS
 
 
 def select_years(wide: DataFrame, years: Sequence[int]) -> DataFrame:
-    """Only the reporting years; on a `year=` layout the other sheets are never opened."""
+    """Only the rows of the reporting years."""
     return wide.where(F.col("year").isin(*years))
 
 
@@ -26,29 +26,22 @@ def require_years(wide: DataFrame, years: Sequence[int]) -> DataFrame:
     return chosen
 
 
-def _text_cells(wide: DataFrame) -> set[str]:
-    return {f.name for f in wide.schema if f.name in WIDE_COLUMNS and isinstance(f.dataType, StringType)}
+def _text_cells(wide: DataFrame) -> bool:
+    return any(f.name in WIDE_COLUMNS and isinstance(f.dataType, StringType) for f in wide.schema)
 
 
-def filter_footnotes(wide: DataFrame) -> DataFrame:
-    """Keep region rows: no headings, blank regions, national totals or notes.
+def filter_footnotes(wide: DataFrame, header_lines: int = HEADER_LINES) -> DataFrame:
+    """Keep region rows: no header lines, blank regions, national totals or notes.
 
-    A heading has no number in its cells, and no text but column titles. A row with other texts and no number
-    is kept, so that reading its cells as numbers fails. Select cells by their names afterwards: the heading
-    filter refers to all of them, and renaming many columns above it makes Spark's planning very slow.
+    Header lines are the first of a sheet, whatever stands in them; they go by the column `line`. A frame without
+    that column has no header. Only the region and the line are looked at, so planning does not grow with the cells.
     """
     region = F.col("region")
     note = F.lit(False)
     for prefix in NOTE_PREFIXES:
         note = note | region.startswith(prefix)
     rows = wide.where((region != "") & ~region.isin(*NATIONAL_TOTALS) & ~note)
-    text = _text_cells(wide)
-    if not text:
-        return rows
-    numbers = ", ".join(f"try_cast({c} AS DOUBLE)" for c in WIDE_COLUMNS)
-    titles = ", ".join(f"'{title}'" for title in (*POPULATION_BANDS, *SEX_BLOCKS, *COLUMN_TITLES))
-    other = " OR ".join(f"{c} NOT IN ({titles})" for c in WIDE_COLUMNS)
-    return rows.where(f"coalesce({numbers}) IS NOT NULL OR coalesce({other}, false)")
+    return rows.where(F.col("line") > header_lines) if "line" in wide.columns else rows
 
 
 def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
@@ -57,7 +50,7 @@ def unpivot_population(wide: DataFrame, years: Sequence[int]) -> DataFrame:
 
     A narrow operation: every input row becomes at most 60 output rows, without a shuffle.
     """
-    text = bool(_text_cells(wide))
+    text = _text_cells(wide)
     number = "CAST(cell AS DOUBLE)" if text else "cell"
     cells = ", ".join(
         f"'{sex}', '{band}', " + (f"CAST(c{first + i} AS STRING)" if text else f"c{first + i}")

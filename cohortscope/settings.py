@@ -19,9 +19,8 @@ POPULATION_BANDS = (
 SEX_BLOCKS = {"Ensemble": 1, "Hommes": 22, "Femmes": 43}
 WIDE_VALUE_COLUMNS = 63
 
-# Titles of columns besides the bands and sexes.
-COLUMN_TITLES = ("Total", "")
-
+# Lines of a sheet before its first data line: titles and column names.
+HEADER_LINES = 5
 NATIONAL_TOTALS = ("France métropolitaine", "France", "France métropolitaine et DOM")
 NOTE_PREFIXES = ("Source", "Champ", "Note")
 

@@ -141,8 +141,8 @@ def population_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def population_wide(population: DataFrame) -> DataFrame:
     """Yearly sheets of the long population: one row per region, plus the rows that sheets carry
-    around the data (headings, national totals, a blank region, notes). Cells are text with
-    decimals, as a spreadsheet saves them.
+    around the data (five header lines, national totals, a blank region, notes), and their `line`. Cells are text with
+    decimals, as a spreadsheet saves them; the fourth line holds a number.
 
     Each long row goes to all the sheet rows it adds to, so one aggregation makes the sheets.
     """
@@ -154,7 +154,9 @@ def population_wide(population: DataFrame) -> DataFrame:
         slots.append(f"WHEN SEXE = '{sex}' THEN array({cell}, 'c{total}')")
         heading.update({f"c{first + i}": band for i, band in enumerate(POPULATION_BANDS)})
 
-    text_rows = ("Régions", "Source : état civil", "Champ : France", "Note : révisé")
+    header = ("Estimation de population", "Population au 1er janvier", "Territoire", "Édition", "Régions")
+    notes = ("Source : état civil", "Champ : France", "Note : révisé")
+    text_rows = (*header, *notes)
     entries = population.selectExpr(
         f"explode(array(REGION, {_quoted((*NATIONAL_TOTALS, '', *text_rows))})) AS region",
         f"CASE {' '.join(slots)} END AS slots", "POPULATION", "ANNEE AS year",
@@ -163,5 +165,10 @@ def population_wide(population: DataFrame) -> DataFrame:
         f"if(region IN ({_quoted(text_rows)}), NULL, POPULATION) AS POPULATION",
     )
     sheets = entries.groupBy("region", "year").pivot("slot", WIDE_COLUMNS).agg(F.sum("POPULATION"))
-    cells = [f"if(region = 'Régions', '{heading[c]}', {c} || '.7') AS {c}" for c in WIDE_COLUMNS]
-    return sheets.selectExpr("region", *cells, "year")
+    cells = [
+        f"CASE region WHEN 'Régions' THEN '{heading[c]}' WHEN 'Édition' THEN '2023.5' ELSE {c} || '.7' END AS {c}"
+        for c in WIDE_COLUMNS
+    ]
+    place = f"array_position(array({_quoted(header)}), region)"
+    body = f"row_number() OVER (PARTITION BY year ORDER BY {place} > 0, region LIKE '% : %', region)"
+    return sheets.selectExpr("region", *cells, "year", f"CAST(if({place} > 0, {place}, 5 + {body}) AS INT) AS line")

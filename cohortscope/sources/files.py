@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -46,18 +46,30 @@ def read_population(spark: SparkSession, path: str) -> DataFrame:
     return read_csv(spark, path, POPULATION_RAW)
 
 
-def read_population_wide(spark: SparkSession, path: str) -> DataFrame:
-    """Yearly sheets saved as headerless CSV under `path/year=YYYY/`, 64 text columns each.
+def read_population_wide(spark: SparkSession, path: str, years: Sequence[int] | None = None) -> DataFrame:
+    """Yearly sheets saved as headerless CSV under `path/year=YYYY/`, one file a sheet, 64 text columns each, and each
+    row's `line` in its file, from 1. With `years` the other sheets are never opened.
 
-    A row with more or fewer fields fails the read, whichever columns are used.
+    A row with more or fewer fields fails the read, whichever columns are used. Cells may hold line breaks. Lines are
+    counted by where a row's block begins in its file and by the row's place in the block, so a file may be split
+    and its blocks may be read in any order. A line without any character is no row and is not counted.
     """
-    options = {**_CSV, "header": False, "mode": "FAILFAST", "columnPruning": False}
-    return spark.read.schema(POPULATION_WIDE).options(**options).csv(path)
+    options = {**_CSV, "header": False, "mode": "FAILFAST", "columnPruning": False, "multiLine": True}
+    rows = spark.read.schema(POPULATION_WIDE).options(**options).csv(path)
+    if years is not None:
+        rows = rows.where(F.col("year").isin(*years))
+    placed = rows.select(
+        "*", F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block"),
+        F.monotonically_increasing_id().alias("_place"),
+    )
+    in_file = Window.partitionBy("_file").orderBy("_block", "_place")  # one sheet a group
+    return placed.withColumn("line", F.row_number().over(in_file)).drop("_file", "_block", "_place")
 
 
 def write_sheets(wide: DataFrame, path: str) -> None:
-    """Save wide rows as yearly sheets, in the layout that `read_population_wide` reads."""
-    wide.write.mode("overwrite").partitionBy("year").options(**{**_CSV, "header": False}).csv(path)
+    """Save wide rows as yearly sheets in the order of `line`, in the layout that `read_population_wide` reads."""
+    sheets = wide.repartition("year").sortWithinPartitions("year", "line").drop("line")
+    sheets.write.mode("overwrite").partitionBy("year").options(**{**_CSV, "header": False}).csv(path)
 
 
 def write_csv(df: DataFrame, path: str) -> None:

@@ -1,25 +1,37 @@
+import time
+
 import pytest
 from helpers import rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructField, StructType
 
-from cohortscope.operators.reshape import filter_footnotes, select_years, unpivot_population
+from cohortscope.operators.reshape import filter_footnotes, unpivot_population
 from cohortscope.schemas import POPULATION_WIDE, WIDE_COLUMNS
 from cohortscope.settings import POPULATION_BANDS
-from cohortscope.sources import files
+from cohortscope.sources import derived, files
 
 
-def sheet_row(region, year, cells=None):
+def sheet_row(region, year, cells=None, line=9):
     cells = cells or {}
-    return (region, *[cells.get(c) for c in WIDE_COLUMNS], year)
+    return (region, *[cells.get(c) for c in WIDE_COLUMNS], year, line)
+
+
+def sheet_frame(spark, rows):
+    return spark.createDataFrame(rows, StructType([*POPULATION_WIDE.fields, StructField("line", IntegerType())]))
 
 
 @pytest.fixture
 def wide(spark):
     numbers = {c: str(i) for i, c in enumerate(WIDE_COLUMNS, 1)}
-    return spark.createDataFrame([
-        sheet_row("Régions", 2023, {c: "0 à 4 ans" for c in WIDE_COLUMNS}),
-        sheet_row("Estimation de population", 2023),
-        sheet_row("Corse", 2023, {**numbers, "c1": "1.9", "c2": None}),
+    return sheet_frame(spark, [
+        *[row for year in (2010, 2023) for row in (
+            sheet_row("Estimation de population", year, line=1),
+            sheet_row("", year, line=2),
+            sheet_row("Titre", year, line=3),
+            sheet_row("Édition", year, {"c1": "2023.5", "c2": "12"}, line=4),
+            sheet_row("Régions", year, {c: "0 à 4 ans" for c in WIDE_COLUMNS}, line=5),
+        )],
+        sheet_row("Corse", 2023, {**numbers, "c1": "1.9", "c2": None}, line=6),
         sheet_row("DOM", 2023, {"c43": "7"}),
         sheet_row("Bretagne", 2010, numbers),
         sheet_row("France", 2023, numbers),
@@ -30,7 +42,7 @@ def wide(spark):
         sheet_row("Source : estimations", 2023, numbers),
         sheet_row("Champ", 2023, numbers),
         sheet_row("Notes", 2023, numbers),
-    ], POPULATION_WIDE)
+    ])
 
 
 def test_only_region_rows_stay(wide):
@@ -52,25 +64,25 @@ def test_unpivot_skips_totals_and_empty_cells_and_truncates(wide):
 
 
 def test_numeric_cells_need_no_parsing(wide):
-    doubles = wide.where("c1 IS NULL OR c1 NOT LIKE '%ans'").select(
-        "region", *[F.col(c).cast("double").alias(c) for c in WIDE_COLUMNS], "year")
+    doubles = wide.where("line > 5").select(
+        "region", *[F.col(c).cast("double").alias(c) for c in WIDE_COLUMNS], "year", "line")
     assert rows(unpivot_population(doubles, [2023])) == rows(unpivot_population(wide, [2023]))
 
 
 def test_a_bad_cell_in_a_region_row_fails(spark):
-    df = spark.createDataFrame([sheet_row("Corse", 2023, {"c1": "5", "c2": "n.d."})], POPULATION_WIDE)
+    df = sheet_frame(spark, [sheet_row("Corse", 2023, {"c1": "5", "c2": "n.d."})])
     with pytest.raises(Exception, match="n.d."):
         unpivot_population(df, [2023]).collect()
 
 
 def test_a_row_of_texts_is_no_heading(spark):
-    df = spark.createDataFrame([sheet_row("Corse", 2023, {c: "nd" for c in WIDE_COLUMNS})], POPULATION_WIDE)
+    df = sheet_frame(spark, [sheet_row("Corse", 2023, {c: "nd" for c in WIDE_COLUMNS})])
     with pytest.raises(Exception, match="nd"):
         unpivot_population(df, [2023]).collect()
 
 
 def test_decimals_are_cut_off(spark):
-    df = spark.createDataFrame([sheet_row("Corse", 2023, {"c1": "12.9999999999", "c2": "7.5"})], POPULATION_WIDE)
+    df = sheet_frame(spark, [sheet_row("Corse", 2023, {"c1": "12.9999999999", "c2": "7.5"})])
     assert set(rows(unpivot_population(df, [2023]), "POPULATION")) == {(12,), (7,)}
 
 
@@ -94,9 +106,59 @@ def test_unread_years_are_pruned(spark, wide, tmp_path):
     files.write_sheets(wide, path)
     sheets = files.read_population_wide(spark, path)
     assert rows(unpivot_population(sheets, [2010, 2023])) == rows(unpivot_population(wide, [2010, 2023]))
-    scan = select_years(sheets, [2023])._jdf.queryExecution().executedPlan().toString()
+    scan = files.read_population_wide(spark, path, [2023])._jdf.queryExecution().executedPlan().toString()
     assert "2023" in scan.split("PartitionFilters: [")[1].split("]")[0]
 
 
 def test_reshaping_needs_no_shuffle(wide):
     assert "Exchange" not in unpivot_population(wide, [2023])._jdf.queryExecution().executedPlan().toString()
+
+
+def test_a_frame_without_lines_has_no_header(wide):
+    assert rows(filter_footnotes(wide.drop("line").where("region IN ('Corse', 'France')")), "region") == [("Corse",)]
+
+
+def sheet_file(folder, year, first_lines, regions):
+    target = folder / f"year={year}"
+    target.mkdir(parents=True)
+    lines = [",".join([text, *["2023.0"] * 63]) for text in first_lines]
+    lines += [",".join([region, *[f"{n}.9"] * 63]) for n, region in enumerate(regions, 1)]
+    (target / "sheet.csv").write_text("\n".join(lines) + "\n", encoding="utf-8")
+
+
+def test_header_lines_go_by_their_place_in_the_file(spark, tmp_path):
+    header = ["Titre", "Population", "", "Édition 2023", "Régions"]
+    sheet_file(tmp_path, 2023, header, ["Corse", "Bretagne", "France"])
+    sheet_file(tmp_path, 2024, header, ["Mayotte"])
+    sheets = files.read_population_wide(spark, str(tmp_path))
+    assert rows(sheets.where("year = 2023"), "line", "region")[3] == (4, "Édition 2023")
+    long = unpivot_population(sheets, [2023, 2024])
+    assert rows(long.select("REGION", "POPULATION", "ANNEE").distinct()) == [
+        ("Bretagne", 2, 2023), ("Corse", 1, 2023), ("Mayotte", 1, 2024)]
+
+
+def test_lines_are_counted_over_line_breaks_in_cells(spark, tmp_path):
+    sheet_file(tmp_path, 2023, ['"Titre\nsur deux lignes"', "a", "b", "c", '"Régions\n\n(2023)"'], ["Corse"])
+    sheets = files.read_population_wide(spark, str(tmp_path))
+    assert rows(filter_footnotes(sheets), "region", "line") == [("Corse", 6)]
+
+
+def test_lines_do_not_depend_on_how_files_are_dealt_to_tasks(spark, tmp_path):
+    for year in range(2000, 2012):
+        sheet_file(tmp_path, year, ["t"] * 5, [f"Région {i}" for i in range(year - 1990)])
+    expected = [(f"Région {i}", i + 6, year) for year in range(2000, 2012) for i in range(year - 1990)]
+    for size in ("1k", "64m"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        try:
+            sheets = filter_footnotes(files.read_population_wide(spark, str(tmp_path)))
+            assert sorted(tuple(r) for r in sheets.select("region", "line", "year").collect()) == sorted(expected)
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_planning_of_a_computed_sheet_takes_seconds(spark, sf_dir):
+    wide = derived.population_wide(derived.population_raw(spark, sf_dir))
+    start = time.perf_counter()
+    renamed = filter_footnotes(wide).select("region", *[F.col(c).cast("double").alias(f"x_{c}") for c in WIDE_COLUMNS])
+    renamed._jdf.queryExecution().executedPlan()
+    assert time.perf_counter() - start < 30
