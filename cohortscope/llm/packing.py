@@ -17,6 +17,8 @@ from __future__ import annotations
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import public_tokenizers
@@ -24,8 +26,9 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from cohortscope.llm.bpe import byte_characters
 from cohortscope.llm.shared import land, numbered
-from cohortscope.llm.text import blocks
+from cohortscope.llm.text import Block, blocks, span_hashes
 
 VOCABULARY = "byte_bpe_50k.json"
 CAPACITY = 1024
@@ -38,61 +41,119 @@ DIVES = 6
 # --- Ids and pieces ---------------------------------------------------------------------------
 
 
+_IS_SPACE = np.zeros(256, dtype=bool)
+_IS_SPACE[[0x20, *range(0x09, 0x0E), *range(0x1C, 0x20)]] = True
+#: Last bytes of the white space beyond ASCII, by the bytes before them.
+_WIDE_SPACES = {
+    b"\xc2": [0x85, 0xA0], b"\xe1\x9a": [0x80], b"\xe2\x80": [*range(0x80, 0x8B), 0xA8, 0xA9, 0xAF],
+    b"\xe2\x81": [0x9F], b"\xe3\x80": [0x80],
+}
+
+
+def chunk_starts(block: Block) -> np.ndarray:
+    """Where the block's chunks begin: at each text, and at each space after anything but white space."""
+    data = block.data
+    begins = np.zeros(len(data), dtype=bool)
+    begins[1:] = (data[1:] == 0x20) & ~_IS_SPACE[data[:-1]]
+    beyond = np.flatnonzero(begins[1:] & (data[:-1] >= 0x80)) + 1  # spaces after characters beyond ASCII
+    for lead, last in _WIDE_SPACES.items():
+        wide = np.isin(data[beyond - 1], last)
+        for k, byte in enumerate(reversed(lead), 2):
+            wide &= (beyond >= k) & (data[np.maximum(beyond - k, 0)] == byte)
+        begins[beyond[wide]] = False
+    begins[block.offsets[:-1][np.diff(block.offsets) > 0]] = True
+    return np.flatnonzero(begins)
+
+
+#: The public pattern of the vocabulary, where only ASCII occurs.
+_ASCII_PATTERN = re.compile(
+    r"'s|'t|'re|'ve|'m|'ll|'d| ?[A-Za-z]+| ?[0-9]+| ?[^ \t\n\v\f\rA-Za-z0-9]+|[ \t\n\v\f\r]+(?![^ \t\n\v\f\r])|[ \t\n\v\f\r]+")
+_SHOWN = {b: c for b, c in enumerate(byte_characters()[:128])}
+
+
 class ChunkEncoder:
     """Ids of texts, remembered by chunk.
 
     The pre-tokenizer never joins a space to the character before it unless that is white space too, so a text may
-    be cut before every other space and its chunks be encoded one by one. Equal chunks are encoded once.
+    be cut before every other space and its chunks be encoded one by one. Equal chunks (of equal 64-bit hashes) are
+    encoded once, as long as at most LIMIT are remembered, beyond those of one block. ASCII chunks are split by the
+    vocabulary's pattern and their parts go to the library's merges; others go through the whole library.
     """
 
-    _LOOSE = re.compile(r"\s ")
-    _CUT = re.compile(r"(?<=\S)(?= )")
-    LIMIT = 1 << 22  # ids, and chunks, that are remembered at most beyond those of one block
+    LIMIT, PARTS = 1 << 21, 1 << 18
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.model = self.tokenizer.model
         self._forget()
 
     def _forget(self) -> None:
-        self.places: dict[str, int] = {}
+        self.known = np.zeros(0, dtype=np.uint64)  # sorted hashes
+        self.place = np.zeros(0, dtype=np.int64)  # where the chunk of each is found in `starts`
         self.ids = np.zeros(0, dtype=np.int32)
         self.starts = np.zeros(1, dtype=np.int64)
-
-    def _chunks(self, text: str) -> list[str]:
-        if self._LOOSE.search(text):
-            return self._CUT.split(text)
-        first, *rest = text.split(" ")
-        cut = [" " + chunk for chunk in rest]
-        return [first, *cut] if first else cut
-
-    def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of all texts in one array, and where each text's ids begin in it (one entry more)."""
-        if len(self.ids) > self.LIMIT or len(self.places) > self.LIMIT // 8:
+        self.parts: dict[str, list[int]] = {}
+
+    def _ascii(self, chunk: str) -> list[int]:
+        ids: list[int] = []
+        for part in _ASCII_PATTERN.findall(chunk):
+            own = self.parts.get(part)
+            if own is None:
+                own = self.parts[part] = [t.id for t in self.model.tokenize(part.translate(_SHOWN))]
+            ids += own
+        return ids
+
+    def _ids(self, chunks: list[str]) -> list[list[int]]:
+        if len(self.parts) > self.PARTS:
+            self.parts = {}
+        ids = [self._ascii(chunk) if chunk.isascii() else None for chunk in chunks]
+        others = [chunk for chunk, own in zip(chunks, ids, strict=True) if own is None]
+        encoded = iter(self.tokenizer.encode_batch_fast(others, add_special_tokens=False))
+        return [next(encoded).ids if own is None else own for own in ids]
+
+    def _learn(self, hashes: np.ndarray, chunks: list[str]) -> None:
+        """Encode chunks that are not known; their hashes are sorted."""
+        ids = self._ids(chunks)
+        sizes = np.fromiter(map(len, ids), dtype=np.int64, count=len(ids))
+        flat = np.fromiter(chain.from_iterable(ids), dtype=np.int32, count=int(sizes.sum()))
+        at = np.searchsorted(self.known, hashes)
+        self.place = np.insert(self.place, at, len(self.known) + np.arange(len(hashes)))
+        self.known = np.insert(self.known, at, hashes)
+        self.ids = np.concatenate([self.ids, flat])
+        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(sizes)])
+
+    def encode(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of a block's texts in one array, and where each text's ids begin in it (one entry more)."""
+        if len(self.known) > self.LIMIT or len(self.ids) > 8 * self.LIMIT:
             self._forget()
-        chunks = [self._chunks(text) if text else [] for text in texts]
-        new: dict[str, int] = {}
-        for listed in chunks:
-            for chunk in listed:
-                if chunk not in self.places:
-                    new[chunk] = self.places[chunk] = len(self.places)
-        if new:
-            ids = [np.array(e.ids, dtype=np.int32)
-                   for e in self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)]
-            self.ids = np.concatenate([self.ids, *ids])
-            self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(i) for i in ids])])
-        counts = [len(listed) for listed in chunks]
-        at = np.fromiter((self.places[c] for listed in chunks for c in listed), dtype=np.int64, count=sum(counts))
-        lengths = self.starts[at + 1] - self.starts[at]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        gather = np.arange(total) + np.repeat(self.starts[at] - (ends - lengths), lengths)
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)])]
+        starts = chunk_starts(block)
+        ends = np.append(starts[1:], len(block.data))
+        hashes, first, of = np.unique(
+            span_hashes(block.prefix_sums(), starts, ends), return_index=True, return_inverse=True)
+        at = np.searchsorted(self.known, hashes)
+        new = np.ones(len(hashes), dtype=bool)
+        new[at < len(self.known)] = self.known[at[at < len(self.known)]] != hashes[at < len(self.known)]
+        if new.any():
+            data = block.data.tobytes()
+            spans = zip(starts[first[new]].tolist(), ends[first[new]].tolist(), strict=True)
+            self._learn(hashes[new], [data[a:b].decode("utf-8", "replace") for a, b in spans])
+        places = self.place[np.searchsorted(self.known, hashes)][of]
+        lengths = self.starts[places + 1] - self.starts[places]
+        until = np.cumsum(lengths)
+        gather = np.arange(int(lengths.sum())) + np.repeat(self.starts[places] - (until - lengths), lengths)
+        bounds = np.concatenate([[0], until])[np.searchsorted(starts, block.offsets)]
         return self.ids[gather], bounds
 
 
+@lru_cache(maxsize=1)
+def _encoder(path: str) -> ChunkEncoder:
+    """One encoder a worker process, which remembers chunks from one task to the next."""
+    return ChunkEncoder(path)
+
+
 def cut(n: int, capacity: int) -> list[int]:
     """Lengths of the pieces of a document of `n` ids: full ones, a shorter one first."""
     return ([n % capacity] if n % capacity else []) + [capacity] * (n // capacity)
@@ -107,10 +168,10 @@ def pieces(docs: DataFrame, capacity: int = CAPACITY, end: int = END, path: str
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
-        encoder = ChunkEncoder(path)
+        encoder = _encoder(path)
         for batch in batches:
             for block in blocks(batch.column("text")):
-                ids, bounds = encoder.encode([t.decode("utf-8", "replace") for t in block.texts()])
+                ids, bounds = encoder.encode(block)
                 rows, numbers, starts, lengths, packed = [], [], [], [], []
                 for row, (a, b) in enumerate(zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)):
                     own = np.append(ids[a:b], end).astype("<u4")

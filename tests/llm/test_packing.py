@@ -5,10 +5,12 @@ from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
 from cohortscope.llm import packing, queries
+from cohortscope.llm.text import blocks
 
 
 @pytest.fixture(scope="module")
@@ -49,36 +51,39 @@ def test_pieces_are_the_librarys_and_sequences_few(spark, sf_dir, tokenizer):
     assert assert_packed(rows) <= 1.02 * bound + 2
 
 
+def encoded(encoder, texts):
+    """The ids of each text."""
+    result = []
+    for block in blocks(pa.array(texts), limit=200):
+        ids, bounds = encoder.encode(block)
+        result += [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:], strict=False)]
+    return result
+
+
 def test_chunks_give_the_librarys_ids(tokenizer):
     encoder = packing.ChunkEncoder(public_tokenizers.path(packing.VOCABULARY))
-    texts = ["", " ", "  ", "a  b", " a", "a ", "a \n b", "\n\n a\tb  \n", "don't  ' s", "x  y", "x\u0085 y", "x\x1c y",
-             "né 日本 語🙂 <|endoftext|> z", "<|endoftext|>", "12 3.4 5", "a  b 　c", "tab\t word", "a b" * 50]
-    ids, bounds = encoder.encode(texts)
-    for text, a, b in zip(texts, bounds[:-1], bounds[1:], strict=True):
-        assert ids[a:b].tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
-    again, _ = encoder.encode(texts)
-    assert again.tolist() == ids.tolist()
-
-
-def test_no_token_crosses_a_cut(tokenizer):
-    """Before a space that follows a character that is not white space there is always a boundary."""
-    points = [c for c in range(0x3100) if not chr(c).isspace()] + list(range(0x1F600, 0x1F650))
-    text = "".join(f"a{chr(c)} b{chr(c)} {chr(c)}" for c in points)
-    starts = {a for _, (a, _) in tokenizer.pre_tokenizer.pre_tokenize_str(text)}
-    cuts, at = set(), 0
-    for chunk in packing.ChunkEncoder._CUT.split(text):
-        cuts.add(at)
-        at += len(chunk)
-    assert cuts <= starts and len(cuts) > 2 * len(points)
+    texts = ["", " ", "  ", "a  b", " a", "a ", "a \n b", "\n\n a\tb  \n", "don't  ' s", "x  y", "x\u0085 y", "x\x1c y",
+             "\x00 a", "\x00", " \x00 a b", "né 日本 語🙂 <|endoftext|> z", "<|endoftext|>", "12 3.4 5", "a  b 　c",
+             "tab\t word", "a b" * 50, "", "à é í ñ", "中文\u3000 x\u2003 y\u205f z\u1680 w\u00a0 v"]
+    texts += [chr(a) + chr(b) + tail for a in range(128) for b in range(128) for tail in ("", "s", "  x")]
+    texts += ["'s't're've'm'll'd'S'RE'x ' s 's", "a's b're c'll", "1's 2'd", "!'s", "\t's \n'm"]
+    texts += [f"a{chr(c)} b {chr(c)} c" for c in range(0x3100) if not 0xD800 <= c < 0xE000]
+    expected = [e.ids for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert encoded(encoder, texts) == expected
+    assert encoded(encoder, texts[:30]) == expected[:30]
+
+
+def test_chunks_begin_at_spaces_after_other_characters():
+    (block,) = blocks(pa.array(["ab cd  e", "", " f g\u3000 h\n i\u00e0 j"]))
+    assert packing.chunk_starts(block).tolist() == [0, 2, 5, 8, 10, 22]
 
 
 def test_forgetting_changes_no_ids(monkeypatch):
     encoder = packing.ChunkEncoder(public_tokenizers.path(packing.VOCABULARY))
     texts = [f"some words {i} and {i * 7919}" for i in range(50)]
-    whole, _ = encoder.encode(texts)
+    whole = encoded(encoder, texts)
     monkeypatch.setattr(packing.ChunkEncoder, "LIMIT", 40)
-    parts = np.concatenate([encoder.encode([t])[0] for t in texts])
-    assert parts.tolist() == whole.tolist()
+    assert encoded(packing.ChunkEncoder(public_tokenizers.path(packing.VOCABULARY)), texts) == whole
 
 
 @pytest.mark.parametrize("counts", [{1: 5}, {1024: 3}, {600: 7}, {600: 7, 424: 7}, {500: 10, 24: 10, 1000: 4},
