@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import os
 import sys
+import warnings
 from collections.abc import Callable
+from dataclasses import replace
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -15,21 +17,22 @@ sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 import oracles  # noqa: E402
 from cohortscope.functions import blank_to, recode, share  # noqa: E402
-from cohortscope.operators import checks, compare, counts, indicators, marts, reshape  # noqa: E402
+from cohortscope.operators import checks, compare, counts, indicators, marts, reshape, users  # noqa: E402
 from cohortscope.operators.staging import clean_enrolments, harmonise_population  # noqa: E402
 from cohortscope.plans import build, reports  # noqa: E402
-from cohortscope.schemas import POPULATION_RAW, STUDENTS_RAW  # noqa: E402
+from cohortscope.schemas import LABELS, POPULATION_RAW, STUDENTS_RAW  # noqa: E402
 from cohortscope.settings import BLOCKS, BOTH_SEXES, FEMALE, SEX_LABELS  # noqa: E402
-from cohortscope.sources import derived, files  # noqa: E402
+from cohortscope.sources import catalog, derived, files  # noqa: E402
 from cohortscope.sources.shared import land, land_all, scratch_path  # noqa: E402
+from cohortscope.sources.versions import Versions  # noqa: E402
 
-try:  # the training-data operators are a part that can be left out
+try:  # the training-data operators are a part that can be left out, as can the libraries that only they use
     import corpus_pipeline
     from cohortscope.llm import oracles as llm_oracles
     from cohortscope.llm import queries as llm_queries
 except ModuleNotFoundError as missing:
     if not (missing.name or "").startswith(("corpus_pipeline", "cohortscope.llm")):
-        raise
+        warnings.warn(f"the training-data operators are left out: no module {missing.name}", stacklevel=1)
     llm_queries = None
 
 SETTINGS = derived.SETTINGS
@@ -103,6 +106,57 @@ def load_summary(spark: SparkSession, sf: str) -> DataFrame:
     return named[0].unionByName(named[1])
 
 
+def load_ranges(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows, present values and ranges of both raw tables, from the footers of their files."""
+    raw = {"students_raw": derived.students_raw(spark, sf), "population_raw": derived.population_raw(spark, sf)}
+    paths = {name: scratch_path(spark, name) for name in raw}
+    land_all(raw, lambda df, name: files.write_table(df, paths[name]))
+    named = [
+        files.footer_summary(spark, path).select(F.lit(name).alias("table_name"), "*") for name, path in paths.items()
+    ]
+    return named[0].unionByName(named[1])
+
+
+def source_by_name(spark: SparkSession, sf: str) -> DataFrame:
+    """Yearly enrolments of a catalog table that a setting names."""
+    path = scratch_path(spark, "enrolments")
+    table = f"enrolments_{path.rsplit('-', 1)[1]}"
+    catalog.save(derived.students_raw(spark, sf), table, path)
+    spark.conf.set(f"{catalog.SETTING}enrolments", table)
+    try:
+        students = clean_enrolments(catalog.source("enrolments"))
+    finally:
+        spark.conf.unset(f"{catalog.SETTING}enrolments")
+    return counts.count_by(students, "year_started")
+
+
+def publish_marts(spark: SparkSession, sf: str) -> DataFrame:
+    """The comparison as a reader finds it after two builds."""
+    out = scratch_path(spark, "published")
+    raw = land_all({
+        "students_raw": derived.students_raw(spark, sf).where("USER_ID IS NOT NULL"),
+        "population_raw": derived.population_raw(spark, sf),
+    })
+    later = raw["students_raw"].where("YEAR_PATH_STARTED > 1995")
+    build.build(later, raw["population_raw"], out, SETTINGS)
+    build.build(raw["students_raw"], raw["population_raw"], out, SETTINGS)
+    return Versions(spark, out).read("comparison_mart")
+
+
+def export_manifest(spark: SparkSession, sf: str) -> DataFrame:
+    """Rows that an export's manifest lists, rows that are read back, and parts that do not match."""
+    students = _students(spark, sf)
+    path = scratch_path(spark, "stg_students_csv")
+    files.export_rows(students, path, build.EXPORT_KEYS)
+    figures = {
+        "listed": files.read_manifest(spark, path).agg(F.coalesce(F.sum("nb_rows"), F.lit(0)).alias("value")),
+        "read": files.read_csv(spark, path, students.schema).agg(F.count(F.lit(1)).alias("value")),
+        "problems": files.verify_export(spark, path, students.schema).agg(F.count(F.lit(1)).alias("value")),
+    }
+    named = [df.select(F.lit(name).alias("metric"), "value") for name, df in figures.items()]
+    return named[0].unionByName(named[1]).unionByName(named[2])
+
+
 def sink_csv(spark: SparkSession, sf: str) -> DataFrame:
     """The long table made from the wide sheets, written as CSV and read back."""
     wide = derived.population_wide(derived.population_raw(spark, sf))
@@ -166,6 +220,15 @@ def band_map(spark: SparkSession, sf: str) -> DataFrame:
     return sums.select("raw_age_group", band.alias("age_group"), "population").where("age_group IS NOT NULL")
 
 
+def label_table(spark: SparkSession, sf: str) -> DataFrame:
+    """The harmonised population, with its three label maps as tables."""
+    maps = {
+        name: spark.createDataFrame(list(getattr(SETTINGS, name).items()), LABELS)
+        for name in ("region_labels", "sex_labels", "band_labels")
+    }
+    return harmonise_population(derived.population_raw(spark, sf), replace(SETTINGS, **maps))
+
+
 def filters(spark: SparkSession, sf: str) -> DataFrame:
     benchmark = (F.col("sexe") == BOTH_SEXES) & (F.col("annee") == _BENCHMARK)
     women = (F.col("sexe") == FEMALE) & (F.col("region") == SETTINGS.focus_region)
@@ -204,6 +267,10 @@ def top_per_group(spark: SparkSession, sf: str) -> DataFrame:
     return counts.top_per_group(ages, SETTINGS.top_bands).select("year_started", "age_group", "pct_of_year", "rang")
 
 
+def _user_bitmaps(spark: SparkSession, sf: str) -> DataFrame:
+    return land(users.user_bitmaps(_students(spark, sf), SETTINGS.years), "user_bitmaps")
+
+
 # --- Comparison -----------------------------------------------------------------------------
 
 
@@ -275,6 +342,12 @@ def gate(spark: SparkSession, sf: str) -> DataFrame:
     return build.check_summary(build.with_marts(_base_models(spark, sf), SETTINGS))
 
 
+def gate_failing(spark: SparkSession, sf: str) -> DataFrame:
+    """The checks of damaged enrolments: each kind finds violations."""
+    damaged = land(derived.damaged_students(derived.students_raw(spark, sf)), "students_damaged")
+    return build.check_summary(build.student_models(damaged, SETTINGS))
+
+
 # --- Contract -------------------------------------------------------------------------------
 
 _QUERIES: dict[str, Query] = {
@@ -283,6 +356,8 @@ _QUERIES: dict[str, Query] = {
     "unpivot_population": unpivot_population,
     "filter_footnotes": filter_footnotes,
     "load_summary": load_summary,
+    "load_ranges": load_ranges,
+    "source_by_name": source_by_name,
     "sink_csv": sink_csv,
     "sink_table": sink_table,
     "stg_students": _students,
@@ -290,6 +365,7 @@ _QUERIES: dict[str, Query] = {
     "stg_population": _population,
     "label_map": label_map,
     "band_map": band_map,
+    "label_table": label_table,
     "filters": filters,
     "counts": lambda spark, sf: counts.count_by(_students(spark, sf), "year_started", "region", "gender"),
     "students_by_year": lambda spark, sf: indicators.students_by_year(_students(spark, sf)),
@@ -305,6 +381,9 @@ _QUERIES: dict[str, Query] = {
     "banded_mean": lambda spark, sf: counts.banded_mean(_students(spark, sf), SETTINGS.band_midpoints),
     "top_per_group": top_per_group,
     "returning_users": lambda spark, sf: counts.returning_users(_students(spark, sf)),
+    "users_by_bitmaps": lambda spark, sf: users.by_year(_user_bitmaps(spark, sf)),
+    "returning_by_bitmaps": lambda spark, sf: users.returning(_user_bitmaps(spark, sf)),
+    "distinct_over_years": lambda spark, sf: users.distinct_over(_user_bitmaps(spark, sf), (1996, 1998, 1999)),
     "benchmark_share": lambda spark, sf: compare.benchmark_share(_population(spark, sf), "region", _BENCHMARK),
     "global_share": lambda spark, sf: compare.global_share(_students(spark, sf), "region"),
     "compare_region": lambda spark, sf: _compare_by(spark, sf, "region"),
@@ -322,7 +401,9 @@ _QUERIES: dict[str, Query] = {
     "band_group_rollup": band_group_rollup,
     "block_union": _block_export,
     "block_counts": lambda spark, sf: reports.block_counts(_block_export(spark, sf)),
+    "publish_marts": publish_marts,
     "export_staging": export_staging,
+    "export_manifest": export_manifest,
     "export_blocks": export_blocks,
     "check_not_null": check_not_null,
     "check_accepted": lambda spark, sf: checks.accepted_values(
@@ -333,6 +414,7 @@ _QUERIES: dict[str, Query] = {
     "check_sum_100": check_sum_100,
     "reconcile": reconcile,
     "gate": gate,
+    "gate_failing": gate_failing,
 }
 
 

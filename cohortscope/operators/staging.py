@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cohortscope.functions import blank_to, recode
+from cohortscope.functions import blank_to, relabel
 from cohortscope.settings import NON_RESPONSE, Settings
 
 
@@ -29,18 +29,18 @@ def clean_enrolments(students_raw: DataFrame, non_response: str = NON_RESPONSE)
 def harmonise_population(population_raw: DataFrame, settings: Settings = Settings()) -> DataFrame:
     """Population in enrolment labels, summed again because several labels become one.
 
-    Unlisted regions pass through, unlisted sexes become null and unlisted bands are dropped;
-    the last is a filter on the raw label, so it reaches the scan.
+    Unlisted regions pass through, unlisted sexes become null and unlisted bands are dropped; with a small mapping
+    the last is a filter on the raw label, so it reaches the scan. Maps may also be tables (source, target).
     """
-    rows = population_raw.where(F.col("AGE_GROUP").isin(*settings.band_labels))
+    rows = relabel(population_raw, "AGE_GROUP", settings.band_labels, "__age_group", drop_unknown=True)
     if settings.drop_regions:
         rows = rows.where(F.col("REGION").isNull() | ~F.col("REGION").isin(*settings.drop_regions))
+    rows = relabel(rows, "REGION", settings.region_labels, "__region", keep_unknown=True)
+    rows = relabel(rows, "SEXE", settings.sex_labels, "__sexe")
     return (
         rows.groupBy(
-            recode(F.col("REGION"), settings.region_labels, keep_unknown=True).alias("region"),
-            recode(F.col("SEXE"), settings.sex_labels).alias("sexe"),
-            recode(F.col("AGE_GROUP"), settings.band_labels).alias("age_group"),
-            F.col("ANNEE").alias("annee"),
+            F.col("__region").alias("region"), F.col("__sexe").alias("sexe"),
+            F.col("__age_group").alias("age_group"), F.col("ANNEE").alias("annee"),
         )
         .agg(F.sum("POPULATION").cast("bigint").alias("population"))
         .select("region", "sexe", "age_group", "population", "annee")

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from cohortscope.operators import checks, compare, counts, indicators, marts, users
 from cohortscope.operators.staging import clean_enrolments, harmonise_population
 from cohortscope.settings import Settings
+from cohortscope.sources import catalog
 from cohortscope.sources.files import export_blocks, export_rows, write_table
 from cohortscope.sources.shared import land, land_all, scratch_path
 from cohortscope.sources.versions import Versions
@@ -136,7 +137,9 @@ def base_models(
     students_raw: DataFrame, population_raw: DataFrame, settings: Settings = Settings()
 ) -> Models:
     """Staging and intermediate models of both inputs. Runs their scans at the same time."""
-    has_benchmark = (F.col("ANNEE") == settings.benchmark_year) & F.col("AGE_GROUP").isin(*settings.band_labels)
+    has_benchmark = F.col("ANNEE") == settings.benchmark_year
+    if isinstance(settings.band_labels, Mapping):
+        has_benchmark &= F.col("AGE_GROUP").isin(*settings.band_labels)
     landed, watches = _land_watched({
         **_student_inputs(students_raw, settings),
         "population_cells": _Watched(
@@ -203,11 +206,12 @@ def check_summary(models: Models) -> DataFrame:
 
 
 def build(
-    students_raw: DataFrame, population_raw: DataFrame, out: str, settings: Settings = Settings()
+    students_raw: DataFrame | str, population_raw: DataFrame | str, out: str, settings: Settings = Settings()
 ) -> Models:
-    """Build, check and publish. Failing checks of raw, staging and intermediate models stop the run before the
+    """Build, check and publish; the inputs are frames, or names of the catalog (see `catalog.source`). Failing checks of raw, staging and intermediate models stop the run before the
     marts are made. The marts go to a new version under `out`, where no reader looks; failing mart checks, or a
     write that fails, discard it. Then one marker makes all three current at once."""
+    students_raw, population_raw = catalog.source(students_raw), catalog.source(population_raw)
     base = base_models(students_raw, population_raw, settings)
     checks.gate(check_summary(base))
     versions = Versions(students_raw.sparkSession, out)
@@ -224,8 +228,8 @@ def build(
 
 
 def export(models: Models, out: str, rows: bool = False) -> None:
-    """Write the block export as CSV, and with `rows` also the cleaned enrolments, which are
-    personal records and leave only on request."""
-    export_blocks(models["block_export"], f"{out}/block_export_csv")
+    """Write the block export as one CSV file, and with `rows` also the cleaned enrolments, which are
+    personal records and leave only on request, as a folder of ordered parts with a manifest."""
+    export_blocks(models["block_export"], f"{out}/block_export.csv")
     if rows:
         export_rows(models["stg_students"], f"{out}/stg_students_csv", EXPORT_KEYS)

@@ -21,6 +21,8 @@ POPULATION_RAW = StructType([
     StructField("ANNEE", IntegerType()),
 ])
 
+LABELS = StructType([StructField("source", StringType()), StructField("target", StringType())])
+
 WIDE_COLUMNS = [f"c{i}" for i in range(1, WIDE_VALUE_COLUMNS + 1)]
 
 # One yearly sheet per `year=` folder; cells stay text until the header rows are gone.

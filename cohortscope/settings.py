@@ -5,6 +5,8 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass, field
 
+from pyspark.sql import DataFrame
+
 # --- Fixed values: labels and numbers that results depend on -----------------------------
 
 # The twenty five-year bands of the reference population, youngest first.
@@ -103,9 +105,10 @@ class Settings:
     key_bands_label: str = KEY_BANDS_LABEL
     top_bands: int = 5
     non_response: str = NON_RESPONSE
-    region_labels: Mapping[str, str] = field(default_factory=lambda: dict(REGION_LABELS))
-    sex_labels: Mapping[str, str] = field(default_factory=lambda: dict(SEX_LABELS))
-    band_labels: Mapping[str, str] = field(default_factory=lambda: dict(BAND_LABELS))
+    # Label maps: mappings, or tables with the columns source and target.
+    region_labels: Mapping[str, str] | DataFrame = field(default_factory=lambda: dict(REGION_LABELS))
+    sex_labels: Mapping[str, str] | DataFrame = field(default_factory=lambda: dict(SEX_LABELS))
+    band_labels: Mapping[str, str] | DataFrame = field(default_factory=lambda: dict(BAND_LABELS))
     band_midpoints: Mapping[str, int] = field(default_factory=lambda: dict(BAND_MIDPOINTS))
     # Population labels to leave out, for a source whose 'DOM' row repeats the single territories.
     drop_regions: tuple[str, ...] = ()

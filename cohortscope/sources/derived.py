@@ -94,6 +94,20 @@ def students_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _as_students(rows.where(_IDENTIFIED), _USER_ID).unionByName(anonymous)
 
 
+def damaged_students(students: DataFrame) -> DataFrame:
+    """Enrolments with faults of every kind that checks look for: missing regions, an unknown gender, years out of
+    range, repeated rows, and in 1998 so many regions that rounded shares do not add up."""
+    number = "CAST(substr(USER_ID, 2) AS INT)"
+    faulty = students.selectExpr(
+        "USER_ID", "PATH_CATEGORY_NAME", "AGE_GROUP",
+        f"IF({number} % 11 = 0, 'X', GENDER) AS GENDER",
+        f"CASE WHEN {number} % 7 = 0 THEN NULL WHEN YEAR_PATH_STARTED = 1998 THEN 'Zone ' || USER_ID ELSE REGION END AS REGION",
+        f"IF({number} % 13 = 0, YEAR_PATH_STARTED + 100, YEAR_PATH_STARTED) AS YEAR_PATH_STARTED",
+    )
+    copies = F.sequence(F.lit(1), F.when(F.expr(f"{number} % 17 = 0"), 2).otherwise(1))
+    return faulty.withColumn("_copy", F.explode(copies)).drop("_copy")
+
+
 def enrolments_per_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User and year of every order, so a user can repeat within a year."""
     return (

@@ -219,13 +219,14 @@ _PARTS: dict[str, tuple[tuple[str, ...], str]] = {
 }
 
 
-def _with(main: str, *parts: str) -> str:
-    """`main` preceded by the building blocks it needs."""
+def _with(main: str, *parts: str, instead: dict[str, tuple[tuple[str, ...], str]] | None = None) -> str:
+    """`main` preceded by the building blocks it needs; `instead` replaces some of them."""
     wanted: dict[str, str] = {}
+    known = _PARTS | (instead or {})
 
     def add(name: str) -> None:
         if name not in wanted:
-            needs, body = _PARTS[name]
+            needs, body = known[name]
             for need in needs:
                 add(need)
             wanted[name] = body
@@ -240,8 +241,8 @@ def _years(years) -> str:
     return ", ".join(str(y) for y in years)
 
 
-def _check_lines() -> str:
-    """Model, kind, column and violations of each of the forty declared checks."""
+def _check_lines(sources: tuple[str, ...]) -> str:
+    """Model, kind, column and violations of each declared check of the models that come from `sources`."""
     years, genders = _years(YEARS), f"'M', 'F', '{SILENT}'"
     slides = _years(range(8, 15))
     block_names = ", ".join(f"'{name}'" for name in _BLOCK_NAMES.values())
@@ -287,10 +288,23 @@ def _check_lines() -> str:
                    CAST(min(CAST({shown} AS VARCHAR)) FILTER ({broken}) AS VARCHAR) AS example
             FROM {source}"""
         for model, kind, column, broken, source, shown in lines
+        if any(source == name or f"FROM {name} " in source for name in sources)
     ]
     return "SELECT *, nb_failures = 0 AS passed FROM (\n" + "\nUNION ALL\n".join(selects) + ")"
 
 
+_DAMAGED = {
+    "sound": _PARTS["students_raw"],
+    "students_raw": (("sound",), """
+        SELECT USER_ID, PATH_CATEGORY_NAME, AGE_GROUP, if(u % 11 = 0, 'X', GENDER) AS GENDER,
+               CASE WHEN u % 7 = 0 THEN NULL WHEN YEAR_PATH_STARTED = 1998 THEN 'Zone ' || USER_ID ELSE REGION END AS REGION,
+               CAST(if(u % 13 = 0, YEAR_PATH_STARTED + 100, YEAR_PATH_STARTED) AS INTEGER) AS YEAR_PATH_STARTED
+        FROM (SELECT *, CAST(substr(USER_ID, 2) AS INTEGER) AS u FROM sound
+              UNION ALL SELECT *, CAST(substr(USER_ID, 2) AS INTEGER) FROM sound
+                        WHERE CAST(substr(USER_ID, 2) AS INTEGER) % 17 = 0)"""),
+}
+_STUDENT_MODELS = ("students_raw", "stg_students", "headcount", "ages", "regions", "genders")
+
 _ALL_MODELS = ("students_raw", "population_raw", "stg_students", "headcount", "ages", "regions", "genders",
                "synthesis", "mart", "blocks")
 
@@ -333,6 +347,22 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL SELECT 'population_raw', 'SEXE', SEXE, count(*) FROM population_raw GROUP BY ALL
             UNION ALL SELECT 'population_raw', 'ANNEE', CAST(ANNEE AS VARCHAR), count(*)
                       FROM population_raw GROUP BY ALL""", "students_raw", "population_raw"),
+        "load_ranges": _with("\nUNION ALL\n".join(
+            f"""SELECT '{table}' AS table_name, '{column}' AS attribute, count(*) AS nb_rows, count({column}) AS nb_present,
+                       {f"CAST(min({column}) AS VARCHAR)" if ranged else "CAST(NULL AS VARCHAR)"} AS low,
+                       {f"CAST(max({column}) AS VARCHAR)" if ranged else "CAST(NULL AS VARCHAR)"} AS high FROM {table}"""
+            for table, columns in (
+                ("students_raw", ("USER_ID", "PATH_CATEGORY_NAME", "AGE_GROUP", "GENDER", "REGION", "YEAR_PATH_STARTED")),
+                ("population_raw", ("REGION", "SEXE", "AGE_GROUP", "POPULATION", "ANNEE")))
+            for column in columns for ranged in (column in ("YEAR_PATH_STARTED", "POPULATION", "ANNEE"),)),
+            "students_raw", "population_raw"),
+        "source_by_name": _with(
+            "SELECT year_started, count(*) AS nb_students FROM stg_students GROUP BY year_started", "stg_students"),
+        "publish_marts": mart,
+        "export_manifest": _with("""
+            SELECT 'listed' AS metric, count(*) AS value FROM stg_students
+            UNION ALL SELECT 'read', count(*) FROM stg_students UNION ALL SELECT 'problems', 0""", "stg_students"),
+        "label_table": _with("SELECT * FROM stg_population", "stg_population"),
         "sink_table": mart,
         "stg_students": staged,
         "blank_recode": _with(f"""
@@ -386,6 +416,17 @@ def oracle_sql() -> dict[str, str]:
         "returning_users": _with("""
             SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS nb_distincts, count(*) FILTER (n > 1) AS nb_reinscrits
             FROM (SELECT count(*) AS n FROM stg_students GROUP BY USER_ID)""", "stg_students"),
+        "users_by_bitmaps": _with("""
+            SELECT year_started, count(DISTINCT USER_ID) AS nb_students_distincts,
+                   count(*) FILTER (n > 1) AS nb_repeated_keys
+            FROM (SELECT year_started, USER_ID, count(*) AS n FROM stg_students GROUP BY ALL) GROUP BY year_started""",
+            "stg_students"),
+        "returning_by_bitmaps": _with("""
+            SELECT CAST(sum(n) AS BIGINT) AS total, count(*) AS nb_distincts, count(*) FILTER (n > 1) AS nb_reinscrits
+            FROM (SELECT count(*) AS n FROM stg_students GROUP BY USER_ID)""", "stg_students"),
+        "distinct_over_years": _with("""
+            SELECT count(DISTINCT USER_ID) AS nb_distincts FROM stg_students WHERE year_started IN (1996, 1998, 1999)""",
+            "stg_students"),
         "benchmark_share": _with("""
             SELECT detail AS region, pop_insee, insee10 / 10.0 AS pct_insee
             FROM benchmark_shares WHERE dimension = 'region'""", "benchmark_shares"),
@@ -456,5 +497,6 @@ def oracle_sql() -> dict[str, str]:
                 ('S11_evolution_age_top5', 35), ('S12_repartition_geographique', 14), ('S13_evolution_pct_idf', 7),
                 ('S14_S16_comparaison_insee_synthese', 3)) AS expected (metric, e) ON metric = source_table""",
             "block_lines"),
-        "gate": _with(_check_lines(), *_ALL_MODELS),
+        "gate": _with(_check_lines(_ALL_MODELS), *_ALL_MODELS),
+        "gate_failing": _with(_check_lines(_STUDENT_MODELS), *_STUDENT_MODELS, instead=_DAMAGED),
     }

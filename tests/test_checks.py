@@ -134,7 +134,7 @@ def test_build_writes_checked_marts(spark, raw_students, raw_population, tmp_pat
     build.export(models, out, rows=True)
     exported = read_csv(spark, f"{out}/stg_students_csv", models["stg_students"].schema)
     assert rows(exported) == rows(models["stg_students"])
-    assert spark.read.option("header", True).csv(f"{out}/block_export_csv").count() == models["block_export"].count()
+    assert spark.read.option("header", True).csv(f"{out}/block_export.csv").count() == models["block_export"].count()
 
 
 @pytest.mark.parametrize("bad, message", [

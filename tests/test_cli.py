@@ -19,6 +19,6 @@ def test_reshape_then_build(spark, sf_dir, tmp_path, capsys):
           "--benchmark-year", "1997", "--years", *map(str, derived.SETTINGS.years)])
     assert "headline_synthesis" in capsys.readouterr().out
     blocks = Versions(spark, out).read("block_export")
-    assert spark.read.option("header", True).csv(f"{out}/block_export_csv").count() == blocks.count()
+    assert spark.read.option("header", True).csv(f"{out}/block_export.csv").count() == blocks.count()
     assert not (tmp_path / "out" / "stg_students_csv").exists()
     assert not (tmp_path / "out" / "students_raw").exists()

@@ -1,12 +1,16 @@
 import random
+import time
 from decimal import Decimal
 from fractions import Fraction
 
+import pytest
+from helpers import plan, rows
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from cohortscope.functions import blank_to, gap, ratio, recode, share
+from cohortscope.functions import blank_to, gap, ratio, recode, relabel, share
+from cohortscope.functions import labels as labels_module
 from cohortscope.settings import BAND_LABELS, NON_RESPONSE, POPULATION_BANDS, REGION_LABELS, SEX_LABELS
 
 
@@ -84,3 +88,58 @@ def test_ratio_matches_exact_arithmetic(spark, pairs):
     )
     for value, x, y in df.select(ratio(F.col("a"), F.col("b")), "x", "y").collect():
         assert value == half_up(Fraction(x, y), 2)
+
+
+def map_frame(spark, *pairs):
+    return spark.createDataFrame(list(pairs), "source string, target string")
+
+
+@pytest.mark.parametrize("as_table", [False, True])
+def test_relabel_by_mapping_and_by_table(spark, as_table, monkeypatch):
+    df = spark.createDataFrame([("a", 1), ("b", 2), (None, 3), ("x", 4), ("a", 5)], "source string, n int")
+    labels = map_frame(spark, ("a", "A"), ("b", "A"), (None, "never")) if as_table else {"a": "A", "b": "A"}
+    assert rows(relabel(df, "source", labels, "label"), "n", "label") == [(1, "A"), (2, "A"), (3, None), (4, None), (5, "A")]
+    kept = relabel(df, "source", labels, "label", keep_unknown=True)
+    assert kept.columns == ["source", "n", "label"] and rows(kept, "n", "label")[2:4] == [(3, None), (4, "x")]
+    assert rows(relabel(df, "source", labels, "label", drop_unknown=True), "n") == [(1,), (2,), (5,)]
+    monkeypatch.setattr(labels_module, "MAX_BROADCAST_LABELS", 0)
+    assert rows(relabel(df, "source", labels, "label", drop_unknown=True), "n") == [(1,), (2,), (5,)]
+
+
+def test_labels_that_are_mapped_twice_are_refused(spark):
+    df = spark.createDataFrame([("a",)], "x string")
+    for pairs in ([("a", "A"), ("a", "B")], [("a", "A"), ("a", "A"), ("b", "B")]):
+        with pytest.raises(ValueError, match="more than once: a"):
+            relabel(df, "x", map_frame(spark, *pairs), "y")
+
+
+def test_a_large_map_plans_in_seconds(spark):
+    df = spark.range(10).selectExpr("concat('s', id) AS x")
+    labels = {f"s{i}": f"t{i % 7}" for i in range(100_000)}
+    table = spark.createDataFrame(list(labels.items()), "source string, target string").cache()
+    table.count()
+    start = time.perf_counter()
+    planned = relabel(df, "x", table, "y")
+    assert "BroadcastHashJoin" in plan(planned)[1] and time.perf_counter() - start < 15
+    assert rows(planned, "x", "y") == rows(relabel(df, "x", labels, "y"), "x", "y") == [(f"s{i}", f"t{i % 7}") for i in range(10)]
+    table.unpersist()
+
+
+def test_a_map_table_harmonises_like_its_mapping(spark, population_raw_rows):
+    import dataclasses
+
+    from cohortscope.operators.staging import harmonise_population
+    from cohortscope.settings import Settings
+
+    plain = Settings()
+    tables = dataclasses.replace(plain, **{
+        name: map_frame(spark, *getattr(plain, name).items()) for name in ("region_labels", "sex_labels", "band_labels")})
+    assert rows(harmonise_population(population_raw_rows, tables)) == rows(harmonise_population(population_raw_rows, plain))
+
+
+@pytest.fixture
+def population_raw_rows(spark, sf_dir):
+    from cohortscope.sources import derived
+    from cohortscope.sources.shared import land
+
+    return land(derived.population_raw(spark, sf_dir), "population_raw")

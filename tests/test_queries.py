@@ -86,3 +86,9 @@ def test_gap_is_the_difference_of_the_shares(spark, sf_dir):
 def test_row_export_counts_every_enrolment(spark, sf_dir):
     exported = QUERIES["export_staging"](spark, sf_dir)
     assert rows(count_by(exported, "year_started")) == rows(count_by(registry._students(spark, sf_dir), "year_started"))
+
+
+def test_damaged_enrolments_fail_a_check_of_every_kind(spark, sf_dir):
+    failed = QUERIES["gate_failing"](spark, sf_dir).where("NOT passed")
+    assert {r["kind"] for r in failed.select("kind").distinct().collect()} == {
+        "not_null", "accepted_values", "range", "unique", "sum_100"}

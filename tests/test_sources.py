@@ -1,9 +1,11 @@
+import os
 from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
-from helpers import rows
+from helpers import plan, rows
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from cohortscope.schemas import POPULATION_RAW, STUDENTS_RAW
 from cohortscope.sources import files, shared
@@ -135,8 +137,7 @@ def test_block_export_is_one_ordered_file_with_plain_headcounts(spark, tmp_path)
                              (10, 'b', 'global', 'w', 12.5, 30.5, -18.0, 1L)"""))
     path = str(tmp_path / "blocks")
     files.export_blocks(df.repartition(3), path)
-    (part,) = part_files(path)
-    assert part.read_text(encoding="utf-8").splitlines() == [
+    assert Path(path).read_text(encoding="utf-8").splitlines() == [
         "slide,source_table,dimension,detail,valeur,valeur_2,ecart,rang",
         "8,a,2022,,1696,,,1",
         "10,b,global,w,12.5,30.5,-18.0,1",
@@ -156,3 +157,77 @@ def test_texts_survive_a_csv_round_trip(spark, tmp_path):
     path = str(tmp_path / "texts")
     files.write_csv(df, path)
     assert rows(files.read_csv(spark, path, df.schema, line_breaks=True)) == rows(df)
+
+
+EXPORT_SCHEMA = (
+    StructType().add("year_started", "integer").add("region", "string").add("n", "long")
+)
+
+
+@pytest.fixture
+def exported(spark, tmp_path):
+    df = spark.range(3000).selectExpr("CAST(2020 + id % 4 AS INT) AS year_started", "concat('r', id % 7) AS region", "id AS n")
+    path = str(tmp_path / "rows")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        files.export_rows(df.unionByName(df.limit(50)), path, ["year_started", "region"])
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    return path
+
+
+def test_the_manifest_lists_the_parts_in_order(spark, exported):
+    listed = spark.read.json(f"{exported}/_manifest").orderBy("place").collect()
+    parts = sorted(f for f in os.listdir(exported) if f.startswith("part-"))
+    assert [r["file"] for r in listed] == [f for f in parts if f in {r["file"] for r in listed}] and len(listed) > 1
+    assert sum(r["nb_rows"] for r in listed) == 3050
+    assert files.read_csv(spark, exported, EXPORT_SCHEMA).count() == 3050
+    assert files.verify_export(spark, exported, EXPORT_SCHEMA).isEmpty()
+
+
+def test_lost_changed_and_extra_parts_are_reported(spark, exported):
+    first, second, *_ = (r["file"] for r in spark.read.json(f"{exported}/_manifest").orderBy("place").collect())
+    moved = os.path.join(exported, "part-99999-moved.csv")
+    os.rename(os.path.join(exported, first), moved)
+    os.unlink(os.path.join(exported, f".{first}.crc"))
+    target = os.path.join(exported, second)
+    with open(target, encoding="utf-8") as file:
+        lines = file.read().splitlines()
+    with open(target, "w", encoding="utf-8") as file:
+        file.write("\n".join(lines[:-1]) + "\n")
+    os.unlink(os.path.join(exported, f".{second}.crc"))
+    found = {r["file"]: r["problem"] for r in files.verify_export(spark, exported, EXPORT_SCHEMA).collect()}
+    assert found == {first: "lost", second: "changed", os.path.basename(moved): "extra"}
+
+
+def test_one_csv_is_a_file_and_replaces_the_one_before(spark, tmp_path):
+    path = str(tmp_path / "one.csv")
+    for n in (3, 2):
+        files.write_one_csv(spark.range(n).repartition(1), path)
+        assert os.path.isfile(path) and open(path, encoding="utf-8").read().split() == ["id", *map(str, range(n))]
+    with pytest.raises(ValueError, match="one partition"):
+        files.write_one_csv(spark.range(5, numPartitions=3), path)
+    assert [f for f in os.listdir(tmp_path) if not f.endswith(".crc")] == ["one.csv"]
+
+
+def test_footers_answer_counts_and_ranges(spark, tmp_path):
+    path = str(tmp_path / "t")
+    df = spark.range(1000, numPartitions=3).selectExpr(
+        "IF(id % 10 = 0, NULL, CAST(id AS INT)) AS n", "concat('x', id) AS text", "DATE '2020-01-01' + CAST(id AS INT) AS day",
+        "CAST(id AS DOUBLE) / 4 AS share")
+    df.write.parquet(path)
+    before = spark.conf.get("spark.sql.sources.useV1SourceList")
+    found = files.footer_summary(spark, path)
+    assert "PushedAggregation: [COUNT(*)" in plan(found)[1]
+    assert rows(found) == [("day", 1000, 1000, "2020-01-01", "2022-09-26"), ("n", 1000, 900, "1", "999"),
+                           ("share", 1000, 1000, "0.0", "249.75"), ("text", 1000, 1000, None, None)]
+    assert spark.conf.get("spark.sql.sources.useV1SourceList") == before
+    empty = str(tmp_path / "empty")
+    df.limit(0).write.parquet(empty)
+    assert rows(files.footer_summary(spark, empty), "nb_rows", "low") == [(0, None)] * 4
+
+
+def test_label_maps_are_read_from_csv(spark, tmp_path):
+    target = tmp_path / "labels.csv"
+    target.write_text("source,target\nDOM,DROM\n", encoding="utf-8")
+    assert rows(files.read_labels(spark, str(target))) == [("DOM", "DROM")]
