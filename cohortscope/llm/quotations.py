@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortscope.llm.shared import land, numbered
+from cohortscope.llm.shared import land, let, numbered
 
 QUOTE = "^(?:[ \\t]*>)+"
 #: Lines that introduce a quote.
@@ -23,21 +23,30 @@ def normalised(line: Column) -> Column:
     return F.trim(F.regexp_replace(F.lower(line), "[\\s\\p{Z}]+", " "))
 
 
+def _introduces(lines: Column, line: Column, i: Column) -> Column:
+    """Whether the i-th line (from 0) announces a quote: it reads like it, and a quoted line follows, after at most
+    one blank line."""
+    following, after = F.get(lines, i + 1), F.get(lines, i + 2)
+    quoted = following.rlike(QUOTE) | ((F.trim(following) == "") & after.rlike(QUOTE))
+    return line.rlike(ATTRIBUTION) & F.coalesce(quoted, F.lit(False))
+
+
 def own_text(text: Column) -> Column:
     """The text without quoted lines, the lines that introduce quotes, and blank lines at either end."""
-    lines = F.filter(F.split(text, "\n"), lambda line: ~line.rlike(QUOTE) & ~line.rlike(ATTRIBUTION))
-    return F.regexp_replace(F.array_join(lines, "\n"), "^\\s+|\\s+$", "")
+    own = let(F.split(text, "\n"), lambda lines: F.array_join(F.filter(
+        lines, lambda line, i: ~line.rlike(QUOTE) & ~_introduces(lines, line, i)), "\n"))
+    return F.regexp_replace(own, "^\\s+|\\s+$", "")
 
 
 def _lines(messages: DataFrame) -> DataFrame:
     """A row for each kind of line with words in a message: its level (0: own) and the hash of its normal form."""
     line = F.col("line")
     quoted = F.regexp_extract(line, QUOTE, 0)
-    parsed = messages.select("conv_id", "turn", F.explode(F.split("text", "\n")).alias("line")).select(
+    told = let(F.split("text", "\n"), lambda lines: F.filter(lines, lambda line, i: ~_introduces(lines, line, i)))
+    parsed = messages.where("text IS NOT NULL").select("conv_id", "turn", F.explode(told).alias("line")).select(
         "conv_id", "turn", F.length(F.regexp_replace(quoted, "[^>]", "")).alias("level"),
-        normalised(F.substring(line, F.length(quoted) + 1, F.length(line))).alias("words"),
-        line.rlike(ATTRIBUTION).alias("introduces"))
-    return parsed.where("words != '' AND NOT introduces").select(
+        normalised(F.substring(line, F.length(quoted) + 1, F.length(line))).alias("words"))
+    return parsed.where("words != ''").select(
         "conv_id", "turn", "level", F.xxhash64("words").alias("passage")).distinct()
 
 
@@ -116,9 +125,10 @@ def quoting(chats: DataFrame) -> DataFrame:
     """Chats as mails: every message but the first quotes the one it answers, and below it what that one answered.
 
     The answered turn is the one before, or two before for every fifth turn. The result is a derived input for
-    `conversations`, with one message a turn.
+    `conversations`, with one message a turn: of several the least by role and text.
     """
-    one = chats.select("conv_id", "turn", "role", "text").dropDuplicates(["conv_id", "turn"])
+    one = chats.groupBy("conv_id", "turn").agg(F.min(F.struct("role", "text")).alias("m")).select(
+        "conv_id", "turn", "m.role", "m.text")
     answered = F.col("turn") - F.when(F.col("turn") % 5 == 4, 2).otherwise(1)
 
     def quote(text: Column, mark: str) -> Column:

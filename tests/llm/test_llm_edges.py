@@ -114,6 +114,20 @@ def test_quotations_of_edge_cases(spark):
     assert quotations.conversations(chats.limit(0)).count() == 0
 
 
+def test_own_lines_that_read_like_an_introduction_stay(spark):
+    listed = [(1, 0, "u", "On Monday my mother wrote:\nhello dear"), (1, 1, "a", "Fine.\nOn turn 0 u wrote:\n\n> hello dear\nThanks."),
+              (1, 2, "u", "On turn 1 a wrote:\n> Fine.\nAm Montag schrieb:\n"), (1, 3, "a", "On Sunday he wrote:")]
+    chats = spark.createDataFrame(listed, "conv_id long, turn long, role string, text string")
+    assert rows(quotations.conversations(chats), "turn", "parent", "text") == [
+        (0, None, listed[0][3]), (1, 0, "Fine.\n\nThanks."), (2, 1, "Am Montag schrieb:"), (3, None, "On Sunday he wrote:")]
+
+
+def test_one_message_a_turn_is_quoted(spark):
+    listed = [(1, 0, "u", "b"), (1, 0, "u", "a"), (1, 1, "a", "x")]
+    chats = spark.createDataFrame(listed, "conv_id long, turn long, role string, text string")
+    assert rows(quotations.quoting(chats), "turn", "text") == [(0, "a"), (1, "On turn 0 u wrote:\n> a\nx")]
+
+
 def test_quotes_follow_lines_over_blocks(spark, monkeypatch):
     monkeypatch.setattr(quotations, "BLOCK", 4)
     said = spark.range(40).select(
