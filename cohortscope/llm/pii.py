@@ -3,9 +3,10 @@
 Detected entities are reduced to units (an address, a number, a name's word) in a normal form. A unit's surrogate
 is drawn from a keyed hash of the normal form, so the same thing gets the same surrogate in every document, and is
 written in the format of each place: separators and letter case stay, so do first digits, a valid card number stays
-valid, names keep their gender and script. The surrogates of all different units are checked against each other
-and against the real units; those that clash are drawn again until none does. All of it is SQL expressions; texts
-are rewritten in place, and only units are shuffled.
+valid, names keep their gender and script. A name is found behind a title, and its words are replaced wherever they
+stand in the same text. The surrogates of all different units are checked against each other and against the real
+units; those that clash are drawn again until none does. All of it is SQL expressions; texts are rewritten in place,
+and only units are shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from cohortscope.llm.shared import broadcast_if_small, land, let
 TITLES = {
     "f": ("Mrs", "Ms", "Miss", "Frau", "Madame", "Mme", "Señora", "Sra", "Doña", "Госпожа", "Κυρία"),
     "m": ("Mr", "Herr", "Monsieur", "Señor", "Sr", "Don", "Господин", "Κύριος"),
+    "n": ("Dr", "Prof", "Professor"),
 }
 SYLLABLES = {
     "latin": "ba be bi bo da de di do fa fe fi ga gi ka ke ki la le li lo ma me mi mo na ne ni no ra re ri ro sa se si "
@@ -61,6 +63,8 @@ PATTERNS["phone"] = (
     f"|{_PHONE}(?<!{_plus(16, 23)})(?![.-]?\\d)|{_PHONE})")
 PATTERN = "|".join(f"(?:{p})" for p in PATTERNS.values())
 KEY = "public test key"
+#: Draws in the given form before the form of an address is widened, and before the run stops.
+SAME_FORM, MAX_ATTEMPTS = 4, 40
 _HEX = 4  # blocks of 64 hex digits that are drawn for a unit
 
 
@@ -83,7 +87,9 @@ def _script(word: Column) -> Column:
 
 
 def _gender(entity: Column) -> Column:
-    return F.when(entity.rlike(f"^(?:{'|'.join(TITLES['f'])})\\b"), "f").otherwise("m")
+    """What the title tells; names are given without an ending of their gender where it tells none."""
+    return F.when(entity.rlike(f"^(?:{'|'.join(TITLES['f'])})\\b"), "f").when(
+        entity.rlike(f"^(?:{'|'.join(TITLES['n'])})\\b"), "n").otherwise("m")
 
 
 def units(entity: Column) -> Column:
@@ -177,7 +183,12 @@ def surrogate(unit: Column, attempt: Column, key: str) -> Column:
         end = F.regexp_extract(domain, "\\.[a-z]+$", 0)
         host = F.substring(domain, F.lit(1), F.length(domain) - F.length(end))
         # The host depends on the host alone, so addresses of one host stay together.
-        email = F.concat(_characters(F.substring(form, F.lit(1), at - 1), drawn, F.lit(0)), F.lit("@"),
+        # After some draws a letter more each time: a short form may have no free value.
+        wider = F.array_join(F.transform(
+            F.sequence(F.lit(1), F.greatest(attempt - SAME_FORM, F.lit(0)) + 1),
+            lambda i: F.substring(F.lit("abcdefghijklmnopqrstuvwxyz"), _number(drawn, 62 - i % 32) % 26 + 1, F.lit(1))), "")
+        further = F.when(attempt > SAME_FORM, wider).otherwise("")
+        email = F.concat(_characters(F.substring(form, F.lit(1), at - 1), drawn, F.lit(0)), further, F.lit("@"),
                          let(_drawn(host, F.lit(0), key), lambda own: _characters(host, own, F.lit(0))), end)
         ip = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(3)), lambda i: (
             1 + _number(drawn, i) % 254).cast("string")), ".")
@@ -225,11 +236,33 @@ def _entities(text: Column) -> Column:
     return F.regexp_extract_all(text, F.lit(PATTERN), F.lit(0))
 
 
+_BOUNDS = "(?<![\\p{L}\\p{M}])", "(?![\\p{L}\\p{M}])"
+
+
+def _named_words(text: Column, entities: Column) -> Column:
+    """The words of the names among `entities`, with the unit each stands for, as structs (word, unit); the first name
+    decides. A word that the text also has in lower case is an ordinary one and left out."""
+    names = F.filter(entities, lambda e: kind(e) == "name")
+    pairs = F.flatten(F.transform(names, lambda e: F.arrays_zip(
+        F.split(F.regexp_replace(e, f"^(?:{_TITLE})\\.? ", ""), " ").alias("word"), units(e).alias("unit"))))
+    pairs = F.transform(pairs, lambda p: F.struct(p["word"].alias("word"), p["unit"].alias("unit")))
+    return let(pairs, lambda own: F.filter(own, lambda p, i: (
+        ~F.exists(F.slice(own, F.lit(1), i), lambda q: q["word"] == p["word"])
+        & ~F.regexp_like(text, F.concat(F.lit(_BOUNDS[0]), F.lower(p["word"]), F.lit(_BOUNDS[1]))))))
+
+
+def _with_names(words: Column) -> Column:
+    """The pattern of all entities and of the words, wherever they stand."""
+    listed = F.array_join(F.transform(words, lambda p: p["word"]), "|")
+    return F.concat(F.lit(f"{PATTERN}|{_BOUNDS[0]}(?:"), listed, F.lit(f"){_BOUNDS[1]}"))
+
+
 def clashes(docs: DataFrame, key: str) -> DataFrame:
     """Units whose first surrogate is not their own, with the attempt that is: (unit, attempt), attempt over 0.
 
     A surrogate is not a unit's own if a smaller unit of the type has it, or if it is itself a unit found in the
-    documents. Each round draws again for those units only.
+    documents. Each round draws again for those units only. Names and addresses may grow with the attempt, numbers
+    keep their form: where the documents leave no number of a form free, the run stops and names the type.
     """
     found = land(docs.select(F.explode(_entities(F.col("text"))).alias("entity"))
                  .select(F.explode(units(F.col("entity"))).alias("unit")).distinct(), "pii_units")
@@ -244,6 +277,10 @@ def clashes(docs: DataFrame, key: str) -> DataFrame:
             .where((F.col("unit") != F.col("owner")) | F.col("is_real")).select("unit", "attempt"), "pii_wrong")
         if wrong.isEmpty():
             return given.where("attempt > 0").select("unit", "attempt")
+        stuck = wrong.where(F.col("attempt") >= MAX_ATTEMPTS).groupBy(type_.alias("type")).agg(F.count("*").alias("n"))
+        full = [f"{r['type']} ({r['n']})" for r in stuck.orderBy("type").collect()]  # a line a type
+        if full:
+            raise ValueError(f"no free surrogate after {MAX_ATTEMPTS} draws: {', '.join(full)}")
         again = wrong.select("unit", (F.col("attempt") + 1).alias("attempt"))
         again = again.select("unit", "attempt", F.concat(
             type_, F.lit(":"), surrogate(F.col("unit"), F.col("attempt"), key)).alias("given"))
@@ -272,11 +309,29 @@ def replace(docs: DataFrame, key: str = KEY) -> DataFrame:
     def attempt(unit: Column) -> Column:
         return F.coalesce(F.try_element_at(F.col(attempts), unit), F.lit(0))
 
+    def joined(gaps: Column, new: Column) -> Column:
+        return F.array_join(F.zip_with(gaps, new, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit("")))), "")
+
+    def given(entity: Column) -> Column:
+        return _written(entity, F.transform(units(entity), lambda unit: surrogate(unit, attempt(unit), key)))
+
+    def renamed(words: Column) -> Column:
+        """With the names' words replaced wherever they stand; a word alone gets the surrogate that its name has."""
+        known = F.map_from_entries(words)
+
+        def each(entity: Column) -> Column:
+            alone = F.try_element_at(known, entity)
+            return F.when(alone.isNotNull(), F.initcap(surrogate(alone, attempt(alone), key))).otherwise(given(entity))
+
+        return let(_with_names(words), lambda pattern: joined(
+            F.split(text, pattern, F.lit(-1)), F.transform(F.regexp_extract_all(text, pattern, F.lit(0)), each)))
+
     def rewritten(entities: Column) -> Column:
-        new = F.transform(entities, lambda e: _written(e, F.transform(
-            units(e), lambda unit: surrogate(unit, attempt(unit), key))))
-        pairs = F.zip_with(F.split(text, PATTERN, -1), new, lambda gap, s: F.concat(gap, F.coalesce(s, F.lit(""))))
-        return F.when(F.size(entities) > 0, F.array_join(pairs, "")).otherwise(text)
+        plain = joined(F.split(text, PATTERN, -1), F.transform(entities, given))
+        has_name = F.exists(entities, lambda e: kind(e) == "name")
+        with_names = let(_named_words(text, entities), lambda words: F.when(
+            F.size(words) > 0, renamed(words)).otherwise(plain))
+        return F.when(has_name, with_names).when(F.size(entities) > 0, plain).otherwise(text)
 
     changed = own.withColumn("text", F.when(text.isNotNull(), let(_entities(text), rewritten)))
     return changed.select(*docs.columns)
