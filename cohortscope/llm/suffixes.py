@@ -223,10 +223,10 @@ def _window_rows(runs: DataFrame, length: int) -> DataFrame:
 
     rows = land(runs.select("anchor", "run", "windows", "data").mapInArrow(
         run, "anchor bigint, run bigint, at int, window bigint"), "windows")
-    several = land(rows.groupBy("window").agg(F.count("*").alias("n")).where("n > 1").select("window"),
-                   "repeated_windows")
-    return rows.join(several, "window").select("anchor", "run", F.col("at").alias("first"),
-                                               (F.col("at") + 1).alias("last"))
+    # Equal windows have equal anchors, so both hashes tell windows apart.
+    window = ["anchor", "window"]
+    several = land(rows.groupBy(*window).agg(F.count("*").alias("n")).where("n > 1").select(*window), "repeated_windows")
+    return rows.join(several, window).select("anchor", "run", F.col("at").alias("first"), (F.col("at") + 1).alias("last"))
 
 
 def repeated_spans(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
