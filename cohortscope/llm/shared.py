@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from cohortscope.sources.shared import land
 
-__all__ = ["broadcast_if_small", "components", "land", "let", "numbered", "partitions"]
+__all__ = ["broadcast_if_small", "components", "land", "let", "numbered", "partitions", "small_batches"]
 
 
 def let(value: Column, use: Callable[[Column], Column]) -> Column:
@@ -17,6 +17,17 @@ def let(value: Column, use: Callable[[Column], Column]) -> Column:
     return F.transform(F.array(value), use)[0]
 
 
+_BATCH_ROWS = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(df: DataFrame) -> None:
+    """Hand a thousand rows at a time to Python where the session has Spark's default of ten thousand: rows that hold
+    whole texts or sets are then some megabytes a batch, on both sides. A setting of the session's own stays."""
+    conf = df.sparkSession.conf
+    if conf.get(_BATCH_ROWS) == "10000":
+        conf.set(_BATCH_ROWS, "1000")
+
+
 def partitions(df: DataFrame) -> int:
     return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
 
