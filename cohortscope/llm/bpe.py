@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
+from cohortscope.llm.shared import small_batches
 from cohortscope.llm.text import blocks
 
 RANKS = "byte_bpe_50k.tiktoken"
@@ -116,6 +117,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) ->
 
     A null text counts as empty and gives empty lists; repeated rows are encoded each.
     """
+    small_batches(docs)
     tokens = ranks_of(docs.sparkSession, path)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,5 +179,8 @@ def read_back(docs: DataFrame, path: str | None = None, pattern: str = PATTERN,
 
 
 def digests(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) -> DataFrame:
-    """One row a document: the number of ids, a hash of the ids and a hash of the text they decode to."""
-    return read_back(docs, path, pattern).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+    """One row a document: the number of ids, a hash of the ids and a hash of the text they decode to.
+
+    Only the ids go on to the second Python worker; the offsets would treble what it reads and returns.
+    """
+    return read_back(docs, path, pattern, keep=("ids",)).select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")

@@ -70,6 +70,15 @@ def test_digests_come_from_encode_and_decode(spark, monkeypatch):
     assert called == ["encode", "decode"]
 
 
+def test_digests_send_no_offsets_to_the_second_worker(spark, monkeypatch):
+    docs = spark.createDataFrame([(1, "né 日本🙂"), (2, None)], "doc_id long, text string")
+    kept, decode = [], bpe.decode
+    monkeypatch.setattr(bpe, "decode", lambda encoded, path, keep: kept.append(keep) or decode(encoded, path, keep))
+    rows = by_id(bpe.digests(docs))
+    assert kept == [("ids",)] and rows[2]["n_tokens"] == 0
+    assert rows[1]["decoded_sha256"] == hashlib.sha256("né 日本🙂".encode()).hexdigest()
+
+
 def test_decode_of_cut_and_null_ids(spark):
     codec = bpe.Codec(bpe.read_ranks(public_tokenizers.path(bpe.RANKS)))
     emoji = codec.encode(["🙂"])[0]
