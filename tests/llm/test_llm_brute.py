@@ -10,6 +10,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 import tiktoken
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from cohortscope.llm import bpe, decontamination, minhash, pii, queries, sharding, suffixes, toxicity, wordpiece
@@ -204,6 +205,30 @@ def test_toxicity_on_held_out_labels(spark):
     assert pairs[1, 1] > pairs[1, 0] and pairs[0, 1] <= 0.02 * pairs[0, 0]
 
 
+def test_toxicity_learns_from_every_labelled_text(spark):
+    """A word that only texts beyond the first 2,500 by hash have is learned, in shards whose changes are averaged."""
+    ids = [i for i in range(7600) if zlib.crc32(str(i).encode()) % 4 != 2]
+    rows = spark.createDataFrame([(i, i % 2) for i in ids], "doc_id long, toxic int")
+    order = [r["doc_id"] for r in rows.where("toxic = 1").orderBy(F.xxhash64("doc_id"), "doc_id").collect()]
+    assert len(order) > 2700 and len(ids) > 4096  # two shards
+    texts = dict.fromkeys(ids, "good day") | dict.fromkeys(order, "bad day") | dict.fromkeys(order[2500:], "vile day")
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string").withColumn("lang", F.lit("en"))
+    model = toxicity.train(docs, rows)
+    asked = spark.createDataFrame([(0, "good day"), (1, "bad day"), (2, "vile day")], "doc_id long, text string")
+    scores = {i: r["score"] for i, r in by_id(toxicity.score(asked, model)).items()}
+    assert scores[0] < 0.05 and scores[1] > 0.95 and scores[2] > 0.95 and set(model.thresholds) == {"en"}
+
+
+def test_toxicity_of_repeated_ids_does_not_follow_the_input_order(spark):
+    rows = [(i % 40, f"{'bad' if i % 2 else 'good'} w{i % 7} {i // 40}", "en") for i in range(80)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    found = []
+    for own in (rows, rows[::-1]):
+        model = toxicity.train(spark.createDataFrame(own, "doc_id long, text string, lang string"), labels, shard_texts=8)
+        found.append([*model.filters, model.out, model.table])
+    assert all(np.allclose(a, b, atol=1e-5) for a, b in zip(*found, strict=True))
+
+
 def test_surrogates(spark, sf_dir, texts):
     new = {i: r["text"] for i, r in by_id(queries.op2_pii(spark, sf_dir)).items()}
     given = {}
