@@ -21,12 +21,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from tokenizers import Regex, Tokenizer, models, pre_tokenizers
 
-from cohortscope.llm.shared import small_batches
+from cohortscope.llm.shared import releasing, small_batches
 from cohortscope.llm.text import blocks
 
 RANKS = "byte_bpe_50k.tiktoken"
 PATTERN = public_tokenizers.PATTERN
-_ROWS = 64  # rows whose ids are decoded at once
+_ROWS = 64  # rows that the library encodes, and whose ids are decoded, at once
 _SCHEMA = "doc_id bigint, ids array<int>, starts array<int>, char_starts array<int>"
 
 
@@ -128,7 +128,8 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) ->
         for batch in batches:
             for block in blocks(batch.column("text")):
                 texts = [t.decode("utf-8", "replace") for t in block.texts()]
-                ids = [np.array(i, dtype=np.int32) for i in codec.encode(texts)]
+                ids = [np.array(i, dtype=np.int32) for first in range(0, len(texts), _ROWS)
+                       for i in codec.encode(texts[first : first + _ROWS])]
                 lists = [ids, [codec.byte_starts(i) for i in ids],
                          [codec.char_starts(i, t.encode()) for i, t in zip(ids, texts, strict=True)]]
                 yield pa.RecordBatch.from_arrays(
@@ -136,7 +137,7 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) ->
                      *[pa.array([x.astype(np.int32) for x in c], pa.list_(pa.int32())) for c in lists]],
                     ["doc_id", "ids", "starts", "char_starts"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, _SCHEMA)
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), _SCHEMA)
 
 
 def _joined(ids: pa.Array, table: pa.Array) -> list[str | None]:
@@ -164,7 +165,7 @@ def decode(encoded: DataFrame, path: str | None = None, keep: tuple[str, ...] =
                 texts = pa.array(_joined(part.column("ids"), table), pa.string())
                 yield pa.RecordBatch.from_arrays([*[part.column(c) for c in names], texts], [*names, "text"])
 
-    return own.mapInArrow(run, encoded.select(*names).schema.add("text", "string"))
+    return own.mapInArrow(releasing(run), encoded.select(*names).schema.add("text", "string"))
 
 
 def read_back(docs: DataFrame, path: str | None = None, pattern: str = PATTERN,

@@ -23,13 +23,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from cohortscope.llm.shared import broadcast_if_small, components, land, small_batches
+from cohortscope.llm.shared import broadcast_if_small, components, land, releasing, small_batches
 from cohortscope.llm.text import Block, blocks, constants, mix, span_hashes, words
 
 COORDINATES = 64
 MIN_MATCHES = 32
 #: Partners that follow one copy of a set; classes and bytes of sets in a block of a list; rows compared at once.
 STREAM, BLOCK, BLOCK_BYTES, _STRIP = 4096, 2048, 8 << 20, 256
+#: Bytes of texts that are worked on at once; what is derived from them takes some sixty times as much.
+_TEXT_BYTES = 1 << 18
 _MULTIPLIERS = constants(COORDINATES, 11)
 _POSTS = constants(COORDINATES, 13)
 _SEED = np.uint64(0x5851F42D4C957F2D)
@@ -73,7 +75,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), _TEXT_BYTES):
                 sets = shingles(block, size)
                 counts = np.array([len(s) for s in sets], dtype=np.int64)
                 keys = _keys(sets)
@@ -87,7 +89,7 @@ def signatures(docs: DataFrame, size: int) -> DataFrame:
                     ["doc_id", "n_shingles", "key_1", "key_2", "posts"])
 
     schema = "doc_id bigint, n_shingles bigint, key_1 bigint, key_2 bigint, posts array<bigint>"
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), schema)
 
 
 def _keys(sets: list[np.ndarray]) -> np.ndarray:
@@ -101,7 +103,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column("text")):
+            for block in blocks(batch.column("text"), _TEXT_BYTES):
                 sets = shingles(block, size)
                 keys = _keys(sets)
                 packed = pa.array([s.tobytes() for s in sets], pa.binary())
@@ -109,7 +111,7 @@ def full_sets(docs: DataFrame, size: int) -> DataFrame:
                     [batch.column("doc_id").slice(block.first, len(block)), pa.array(keys[:, 0].copy()),
                      pa.array(keys[:, 1].copy()), packed], ["doc_id", "key_1", "key_2", "members"])
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id bigint, key_1 bigint, key_2 bigint, members binary")
+    return docs.select("doc_id", "text").mapInArrow(releasing(run), "doc_id bigint, key_1 bigint, key_2 bigint, members binary")
 
 
 def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -145,7 +147,7 @@ def _confirmed(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     of_b = placed.join(sets.withColumnRenamed("class_id", "b"), "b").select(
         "a", "part", F.lit(1).alias("is_b"), F.col("b").alias("class_id"), "members")
     order = ["a", "part", "is_b"]
-    return of_a.unionByName(of_b).repartition("a", "part").sortWithinPartitions(*order).mapInArrow(run, "a bigint, b bigint")
+    return of_a.unionByName(of_b).repartition("a", "part").sortWithinPartitions(*order).mapInArrow(releasing(run), "a bigint, b bigint")
 
 
 def _prefixes(posts: DataFrame) -> DataFrame:
@@ -173,7 +175,7 @@ def _shared_sizes(sets: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(np.full(len(members), class_id)), pa.array(members)], ["class_id", "shingle"])
 
-    rows = sets.mapInArrow(run, "class_id bigint, shingle bigint")
+    rows = sets.mapInArrow(releasing(run), "class_id bigint, shingle bigint")
     held = rows.groupBy("shingle").agg(F.count("*").alias("holders"), F.min("class_id").alias("class_id"))
     return held.where("holders = 1").groupBy("class_id").agg(F.count("*").alias("n_private"))
 
@@ -362,8 +364,8 @@ def _across(lists: DataFrame, roots: DataFrame, members: DataFrame, sets: DataFr
         return rows.repartition(*meeting_keys).sortWithinPartitions(*meeting_keys)
 
     signed = met(dealt.withColumn("second", second).join(members.select("class_id", "posts"), "class_id").select(*columns, "posts"))
-    left = land(signed.mapInArrow(colliding, schema), "colliding")
-    return met(left.join(sets, "class_id").select(*columns, "members")).mapInArrow(linked, "a bigint, b bigint")
+    left = land(signed.mapInArrow(releasing(colliding), schema), "colliding")
+    return met(left.join(sets, "class_id").select(*columns, "members")).mapInArrow(releasing(linked), "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame, size: int = 5, percent: int = 80) -> DataFrame:

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from cohortscope.llm.shared import broadcast_if_small, land, small_batches
+from cohortscope.llm.shared import broadcast_if_small, land, releasing, small_batches
 from cohortscope.llm.text import Block, blocks, constants, mix, span_hashes, words
 
 BUCKETS = 1 << 17
@@ -221,7 +221,7 @@ def _log_odds(texts: DataFrame, totals: np.ndarray) -> np.ndarray:
         yield pa.RecordBatch.from_arrays([pa.array(places), *[pa.array(c[places]) for c in counts]],
                                          ["place", "others", "toxic"])
 
-    rows = texts.select("text", "toxic").mapInArrow(run, "place bigint, others bigint, toxic bigint")
+    rows = texts.select("text", "toxic").mapInArrow(releasing(run), "place bigint, others bigint, toxic bigint")
     table = rows.groupBy("place").agg(F.sum("others").alias("others"), F.sum("toxic").alias("toxic")).toArrow()
     counts = np.zeros((2, BUCKETS))
     counts[:, table.column("place").to_numpy()] = [table.column(c).to_numpy() for c in ("others", "toxic")]
@@ -262,7 +262,7 @@ def _epoch(texts: DataFrame, values: np.ndarray, squares: np.ndarray) -> None:
         if own:
             yield changed(own)
 
-    rows = texts.select("shard", "text", "toxic").mapInArrow(run, ", ".join(f"{c} bigint" for c in ["place", *_CHANGES]))
+    rows = texts.select("shard", "text", "toxic").mapInArrow(releasing(run), ", ".join(f"{c} bigint" for c in ["place", *_CHANGES]))
     table = rows.groupBy("place").agg(F.count("*").alias("n"), *[F.sum(c).alias(c) for c in _CHANGES]).toArrow()
     shared.destroy()
     places, n = (table.column(c).to_numpy() for c in ("place", "n"))
@@ -338,7 +338,7 @@ def with_scores(docs: DataFrame, model: Model, name: str, keep: list[str]) -> Da
                 yield pa.RecordBatch.from_arrays([*rows.columns[: len(keep)], values], [*keep, name])
 
     schema = StructType([*docs.select(*keep).schema, StructField(name, DoubleType())])
-    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(run, schema)
+    return docs.select(*keep, *([] if "text" in keep else ["text"])).mapInArrow(releasing(run), schema)
 
 
 def score(docs: DataFrame, model: Model) -> DataFrame:
@@ -362,6 +362,6 @@ def keep_clean(docs: DataFrame, model: Model) -> DataFrame:
                 limits = [shared.value.thresholds.get(x, THRESHOLD) for x in rows.column(lang).to_pylist()]
                 yield rows.filter(pa.array(np.round(shared.value.scores(block), 6) < np.array(limits)))
 
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(releasing(run), docs.schema)
 
 
