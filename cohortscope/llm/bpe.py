@@ -2,6 +2,7 @@
 
 The tokenizer is built from a file of ranks: bytes are mapped to printable characters, and the merges are
 recovered from the ranks (a token's merge is the last one made when its own bytes are merged by lower ranks).
+Texts are cut into chunks where no match of the pattern goes on, and a task gives equal chunks to the library once.
 Decoding needs the byte table only: the bytes of the ids are joined, so characters that are split between
 tokens come back whole.
 """
@@ -9,6 +10,7 @@ tokens come back whole.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 from functools import lru_cache
 from pathlib import Path
@@ -27,6 +29,13 @@ from cohortscope.llm.text import blocks
 RANKS = "byte_bpe_50k.tiktoken"
 PATTERN = public_tokenizers.PATTERN
 _ROWS = 64  # rows that the library encodes, and whose ids are decoded, at once
+_LIMIT = 1 << 21  # characters of chunks that a task remembers, beyond those of one call
+_LETTERS, _MARKS = "A-Za-zÀ-ÖØ-öø-ÿ", r"!-/:-@\[-`{-~"
+#: Chunks whose ends no match of PATTERN crosses: a match never goes on from other characters to white space, nor from a
+#: letter to a mark. So a text may be cut before a run of white space, and between a letter and an ASCII mark. Characters
+#: that are white space to Python alone cut nothing.
+_CHUNK = re.compile(
+    rf" ?[{_LETTERS}]+(?=[ \t-\r{_MARKS}])|[{_MARKS}]+(?=[ \t-\r])|\s*\S+(?:[^\S \t-\r]\s*\S*)*|\s+")
 _SCHEMA = "doc_id bigint, ids array<int>, starts array<int>, char_starts array<int>"
 
 
@@ -73,7 +82,9 @@ class Codec:
         merges = [tuple(map(shown, _merge(token, ranks))) for token in tokens if len(token) > 1]
         model = models.BPE({shown(t): i for i, t in enumerate(tokens)}, merges, ignore_merges=True)
         self.tokenizer = Tokenizer(model)
-        if pattern == PATTERN:  # the library's own copy of this pattern, with bytes mapped in the same pass
+        self.by_chunk = pattern == PATTERN
+        self.forget()
+        if self.by_chunk:  # the library's own copy of this pattern, with bytes mapped in the same pass
             self.tokenizer.pre_tokenizer = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=True)
         else:
             self.tokenizer.pre_tokenizer = pre_tokenizers.Sequence([
@@ -81,9 +92,36 @@ class Codec:
                 pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False),
             ])
 
-    def encode(self, texts: list[str]) -> list[list[int]]:
+    def forget(self) -> None:
+        self.known: dict[str, bytes] = {}  # ids of chunks, as packed 32-bit numbers
+        self.size = 0
+
+    def _whole(self, texts: list[str]) -> list[list[int]]:
         return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
+    def _learn(self, chunks: list[str]) -> None:
+        """Encode chunks that are not known. Those that begin with white space and end with something else go through
+        the library joined, as they may be cut apart again; tokens tell by their lengths where."""
+        joined, others = [], []
+        for chunk in chunks:
+            (joined if chunk[0] in " \t\n\v\f\r" and not chunk[-1].isspace() else others).append(chunk)
+        ids = np.array(self._whole(["".join(joined)])[0], dtype=np.int32)
+        ends = np.cumsum([len(c.encode()) for c in joined])
+        at = [0, *(4 * np.searchsorted(np.cumsum(self.lengths[ids]), ends, side="right")).tolist()]
+        packed = ids.tobytes()
+        self.known.update(zip(joined, [packed[a:b] for a, b in zip(at, at[1:], strict=False)], strict=True))
+        self.known.update(zip(others, [np.array(i, dtype=np.int32).tobytes() for i in self._whole(others)], strict=True))
+        self.size += sum(map(len, chunks))
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        if not self.by_chunk:
+            return self._whole(texts)
+        if self.size > _LIMIT:
+            self.forget()
+        chunks = [_CHUNK.findall(t) for t in texts]
+        self._learn(list(set().union(*chunks).difference(self.known)))
+        return [np.frombuffer(b"".join(map(self.known.__getitem__, c)), dtype=np.int32).tolist() for c in chunks]
+
     def decode_bytes(self, ids: list[int]) -> bytes:
         return b"".join([self.tokens[i] for i in ids])
 
@@ -125,17 +163,20 @@ def encode(docs: DataFrame, path: str | None = None, pattern: str = PATTERN) ->
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks are the parallelism
         codec = _codec(tuple(tokens.value), pattern)
-        for batch in batches:
-            for block in blocks(batch.column("text")):
-                texts = [t.decode("utf-8", "replace") for t in block.texts()]
-                ids = [np.array(i, dtype=np.int32) for first in range(0, len(texts), _ROWS)
-                       for i in codec.encode(texts[first : first + _ROWS])]
-                lists = [ids, [codec.byte_starts(i) for i in ids],
-                         [codec.char_starts(i, t.encode()) for i, t in zip(ids, texts, strict=True)]]
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column("doc_id").slice(block.first, len(block)),
-                     *[pa.array([x.astype(np.int32) for x in c], pa.list_(pa.int32())) for c in lists]],
-                    ["doc_id", "ids", "starts", "char_starts"])
+        try:
+            for batch in batches:
+                for block in blocks(batch.column("text")):
+                    texts = [t.decode("utf-8", "replace") for t in block.texts()]
+                    ids = [np.array(i, dtype=np.int32) for first in range(0, len(texts), _ROWS)
+                           for i in codec.encode(texts[first : first + _ROWS])]
+                    lists = [ids, [codec.byte_starts(i) for i in ids],
+                             [codec.char_starts(i, t.encode()) for i, t in zip(ids, texts, strict=True)]]
+                    yield pa.RecordBatch.from_arrays(
+                        [batch.column("doc_id").slice(block.first, len(block)),
+                         *[pa.array([x.astype(np.int32) for x in c], pa.list_(pa.int32())) for c in lists]],
+                        ["doc_id", "ids", "starts", "char_starts"])
+        finally:
+            codec.forget()  # the worker stays, for other work
 
     return docs.select("doc_id", "text").mapInArrow(releasing(run), _SCHEMA)
 
